@@ -1,6 +1,7 @@
 """URL normalisation as Column expressions.
 
-The rules work on whole columns with built-in functions. They are staged over
+The rules work on whole columns with built-in functions; a cheap test guards
+each pattern that few links need. They are staged over
 several ``select`` layers because each layer's result is read more than once;
 Catalyst keeps such layers apart instead of repeating the work, and generates
 one piece of code for all of them.
@@ -35,7 +36,8 @@ def _wanted_parameters(query: Column) -> Column:
     One pattern for the whole text; filtering a list with a lambda would take
     the projection out of generated code.
     """
-    return F.regexp_replace(F.concat(F.lit("&"), query), UNWANTED_PARAMETER, "")
+    cleaned = F.regexp_replace(F.concat(F.lit("&"), query), UNWANTED_PARAMETER, "")
+    return F.when(query == "", "").otherwise(cleaned)
 
 
 def _clean_query(wanted: Column) -> Column:
@@ -44,8 +46,20 @@ def _clean_query(wanted: Column) -> Column:
     return F.when(wanted == "", "").otherwise(F.concat(F.lit("?"), F.array_join(ordered, "&")))
 
 
+def _host(authority: Column) -> Column:
+    """Lower case, without user and default port."""
+    host = F.lower(F.substring_index(authority, "@", -1))
+    return F.when(host.contains(":"), F.regexp_replace(host, DEFAULT_PORT, "")).otherwise(host)
+
+
 def _clean_path(path: Column) -> Column:
-    return F.rtrim(F.regexp_replace(path, INDEX_PAGE, ""), F.lit("/"))
+    named = F.when(path.contains("/index."), F.regexp_replace(path, INDEX_PAGE, "")).otherwise(path)
+    return F.rtrim(named, F.lit("/"))
+
+
+def _short_host(host: Column) -> Column:
+    starts = host.startswith("www.") | host.startswith("m.") | host.startswith("mobile.")
+    return F.when(starts, F.regexp_replace(host, SHORT_SUBDOMAIN, "$1")).otherwise(host)
 
 
 def with_normalized_url(
@@ -63,21 +77,28 @@ def with_normalized_url(
     staged = (
         df.withColumn("_body", _web_body(F.col(link)))
         .withColumn("_head", F.substring_index("_body", "?", 1))
-        .withColumn("_query", _wanted_parameters(F.substr("_body", F.length("_head") + 2)))
-        .withColumn("_authority", F.substring_index("_head", "/", 1))
-        .withColumn("_path", F.substr("_head", F.length("_authority") + 1))
-        .withColumn(
-            "_host",
-            F.regexp_replace(F.lower(F.substring_index("_authority", "@", -1)), DEFAULT_PORT, ""),
+        .withColumns(
+            {
+                "_query": _wanted_parameters(F.substr("_body", F.length("_head") + 2)),
+                "_authority": F.substring_index("_head", "/", 1),
+            }
+        )
+        .withColumns(
+            {
+                "_path": F.substr("_head", F.length("_authority") + 1),
+                "_host": _host(F.col("_authority")),
+            }
         )
         .withColumn("_host", F.when(F.col("_host").rlike(VALID_HOST), F.col("_host")))
     )
     normalized = F.concat(
-        F.regexp_replace("_host", SHORT_SUBDOMAIN, "$1"),
+        _short_host(F.col("_host")),
         _clean_path(F.col("_path")),
         _clean_query(F.col("_query")),
     )
     outputs = [normalized.alias(output)]
     if host:
         outputs.append(F.substring_index("_host", ":", 1).alias(host))
-    return staged.select(*keep, *outputs)
+    # A filter on the result would be moved below the stages, with all of them
+    # copied into it for each use. It does not move past a generator.
+    return staged.select(*keep, F.inline(F.array(F.struct(*outputs))))

@@ -19,7 +19,8 @@ def attribute_domain(
     null for an address, a single label, a bare suffix or an unknown suffix.
     """
     keep = df.columns
-    looked_up = df.withColumn("_labels", F.size(F.split(host, "[.]")))
+    dots = F.length(host) - F.length(F.replace(F.col(host), F.lit("."), F.lit("")))
+    looked_up = df.withColumn("_labels", dots + 1)
     for size in range(1, rules.depth + 1):
         candidate = F.when(F.col("_labels") >= size, F.substring_index(host, ".", -size))
         entries = rules.frame.select(

@@ -56,15 +56,24 @@ def attach_channels(classified: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def links_with_channel(classified: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
-    """Channel links and video links together, with ``channel_id``.
+    """Video links and channel links together, with ``channel_id``.
 
-    Without metadata no video has a known channel.
+    Both kinds go through one join, so the links are computed once. Channel
+    links have no video id; a null key would send all of them to one task, so
+    they get a key of their own that is never used. Without metadata no video
+    has a known channel.
     """
+    is_video = F.col("link_kind") == VIDEO
+    known = classified.where(is_video | F.col("channel_id").isNotNull())
     if metadata is None:
-        videos = video_links(classified).withColumn("channel_id", F.lit(None).cast("string"))
-    else:
-        videos = attach_channels(classified, metadata)
-    return videos.unionByName(channel_links(classified))
+        return known.drop("video_id", "link_kind")
+    found = video_channels(metadata).select(
+        F.col("video_id").alias("_key"), F.col("channel_id").alias("_found")
+    )
+    keyed = known.withColumn("_key", F.coalesce("video_id", F.concat(F.lit("/"), "normalized_url")))
+    channel = F.when(is_video, F.col("_found")).otherwise(F.col("channel_id"))
+    joined = keyed.join(found, "_key", "left").withColumn("channel_id", channel)
+    return joined.drop("_key", "_found", "video_id", "link_kind")
 
 
 def unify_records(videos: DataFrame, channels: DataFrame) -> DataFrame:
@@ -78,14 +87,18 @@ def unify_records(videos: DataFrame, channels: DataFrame) -> DataFrame:
     return both.select(*[typed(name) for name in METADATA_FIELDS])
 
 
-def _one_record(records: DataFrame, key: str) -> DataFrame:
-    """One whole record per key: the largest, so a known value beats a null."""
-    others = [name for name in METADATA_FIELDS if name != key]
+def _keyed_records(records: DataFrame) -> DataFrame:
+    """One whole record per kind and id: the largest, so a known value beats a null."""
+    kind = F.when(F.col("video_id").isNotNull(), VIDEO).otherwise(CHANNEL)
     return (
-        records.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.max(F.struct(*others)).alias("_record"))
-        .select(key, *[F.col("_record")[name].alias(name) for name in others])
+        records.select(
+            kind.alias("link_kind"),
+            F.coalesce("video_id", "channel_id").alias("_key"),
+            F.struct(*METADATA_FIELDS).alias("_record"),
+        )
+        .where(F.col("_key").isNotNull())
+        .groupBy("link_kind", "_key")
+        .agg(F.max("_record").alias("_record"))
     )
 
 
@@ -96,12 +109,9 @@ def attach_metadata(classified: DataFrame, records: DataFrame) -> DataFrame:
     those with no ``video_id``, on ``channel_id``.
     """
     base = [name for name in classified.columns if name not in LINK_KEYS]
-    video_records = _one_record(records, "video_id")
-    channel_records = _one_record(records.where(F.col("video_id").isNull()), "channel_id")
-    videos = classified.where(F.col("link_kind") == VIDEO).select(*base, "video_id")
-    channels = channel_links(classified).select(*base, "channel_id")
-    joined = videos.join(video_records, "video_id").unionByName(channels.join(channel_records, "channel_id"))
-    return joined.select(*base, *METADATA_FIELDS)
+    key = F.when(F.col("link_kind") == VIDEO, F.col("video_id")).otherwise(F.col("channel_id"))
+    links = classified.select(*base, "link_kind", key.alias("_key")).where(F.col("_key").isNotNull())
+    return links.join(_keyed_records(records), ["link_kind", "_key"]).select(*base, "_record.*")
 
 
 def channel_rollup(links: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from linktally.functions.platforms import YOUTUBE, Platform
 from linktally.functions.suffixes import SuffixRules
 from linktally.operators.checks import require_unique
 from linktally.operators.enrich import (
+    LINK_KEYS,
     channel_links,
     channel_rollup,
     classify_links,
@@ -21,10 +22,10 @@ from linktally.operators.enrich import (
 from linktally.operators.rollup import present_months
 from linktally.plans.reports import domain_month, domains_table, platform_link_month, platform_links_table
 from linktally.plans.shares import shares_from_posts
-from linktally.schemas import require_columns
+from linktally.schemas import DOMAIN_MONTH_SCHEMA, LINK_MONTH_SCHEMA, require_columns
 from linktally.sources.exports import ranked, write_csv
 from linktally.sources.posts import DEFAULT_PATTERN, read_posts
-from linktally.sources.tables import read_by_month, read_shares, write_by_month
+from linktally.sources.tables import read_by_month, read_shares, refresh_by_month, write_by_month
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,10 @@ class Outputs:
     def link_month(self) -> str:
         return self._at("platform_link_month")
 
+    @property
+    def links_by_kind(self) -> str:
+        return self._at("platform_links_by_kind")
+
     @property
     def domains(self) -> str:
         return self._at("domains")
@@ -80,12 +85,22 @@ def write_rollups(
     """
     if months is not None:
         shares = shares.where(F.col("month").isin(*months))
-    refresh = months is not None
     for rollup, path in (
         (domain_month(shares), out.domain_month),
         (platform_link_month(shares, platform), out.link_month),
     ):
-        write_by_month(rollup.hint("rebalance", "month"), path, refresh=refresh)
+        gathered = rollup.hint("rebalance", "month")
+        if months is None:
+            write_by_month(gathered, path)
+        else:
+            refresh_by_month(gathered, path, months)
+
+
+def write_links_by_kind(links: DataFrame, path: str, platform: Platform = YOUTUBE) -> DataFrame:
+    """Store classified platform links, a folder per kind, and read them back."""
+    classified = classify_links(links, platform)
+    classified.write.mode("overwrite").partitionBy("link_kind").parquet(path)
+    return links.sparkSession.read.schema(classified.schema).parquet(path)
 
 
 def write_reports(
@@ -95,19 +110,24 @@ def write_reports(
     video_metadata: DataFrame | None = None,
     platform: Platform = YOUTUBE,
 ) -> None:
-    """Export every report from the stored rollups."""
-    domains = domains_table(read_by_month(spark, out.domain_month), months)
-    write_csv(ranked(domains, "sum_all_tweets_with_domain", "domain_id"), out.domains)
+    """Export every report from the stored rollups.
 
-    links = platform_links_table(read_by_month(spark, out.link_month), months)
-    total = "sum_all_tweets_with_link"
-    write_csv(ranked(links, total, "normalized_url"), out.platform_links)
+    Links are summed over months once and stored by kind; the link exports and
+    the channel report each read the kinds they need.
+    """
+    domains = domains_table(read_by_month(spark, out.domain_month, DOMAIN_MONTH_SCHEMA), months)
+    write_csv(ranked(domains, "sum_all_tweets_with_domain", "domain_id"), out.domains)
 
-    classified = classify_links(links, platform)
-    write_csv(ranked(video_links(classified), total, "normalized_url"), out.video_links)
-    write_csv(ranked(channel_links(classified), total, "normalized_url"), out.channel_links)
+    links = platform_links_table(read_by_month(spark, out.link_month, LINK_MONTH_SCHEMA), months)
+    classified = write_links_by_kind(links, out.links_by_kind, platform)
     channels = channel_rollup(links_with_channel(classified, video_metadata))
-    write_csv(ranked(channels, total, "channel_id"), out.channels)
+    for report, key, path in (
+        (classified.drop(*LINK_KEYS), "normalized_url", out.platform_links),
+        (video_links(classified), "normalized_url", out.video_links),
+        (channel_links(classified), "normalized_url", out.channel_links),
+        (channels, "channel_id", out.channels),
+    ):
+        write_csv(ranked(report, "sum_all_tweets_with_link", key), path)
 
 
 def run_pipeline(
@@ -141,11 +161,12 @@ def run_pipeline(
     if shares_path is None:
         posts = read_posts(spark, inputs, pattern, **csv_options)
         shares = shares_from_posts(
-            posts, rules, (platform,), null_zero_ids, strict_time, cluster=True
+            posts, rules, (platform,), null_zero_ids, strict_time, cluster=True, months=refresh_months
         )
-        if refresh_months is not None:
-            shares = shares.where(F.col("month").isin(*refresh_months))
-        write_by_month(shares, outputs.shares, refresh=refresh_months is not None)
+        if refresh_months is None:
+            write_by_month(shares, outputs.shares)
+        else:
+            refresh_by_month(shares, outputs.shares, refresh_months)
         shares_path = outputs.shares
     shares = read_shares(spark, shares_path)
     write_rollups(shares, outputs, platform, refresh_months)
@@ -155,5 +176,7 @@ def run_pipeline(
 
 def check_outputs(spark: SparkSession, outputs: Outputs) -> None:
     """Raise if a monthly table has two rows for one key and month."""
-    require_unique(read_by_month(spark, outputs.domain_month), ("domain_id", "month"))
-    require_unique(read_by_month(spark, outputs.link_month), ("normalized_url", "month"))
+    domains = read_by_month(spark, outputs.domain_month, DOMAIN_MONTH_SCHEMA)
+    require_unique(domains, ("domain_id", "month"))
+    links = read_by_month(spark, outputs.link_month, LINK_MONTH_SCHEMA)
+    require_unique(links, ("normalized_url", "month"))

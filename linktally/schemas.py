@@ -32,6 +32,20 @@ SHARES_SCHEMA = T.StructType(
     ]
 )
 
+
+
+def _monthly(texts, counts) -> T.StructType:
+    fields = [T.StructField(name, T.StringType()) for name in (*texts, "month")]
+    return T.StructType([*fields, *[T.StructField(name, T.LongType()) for name in counts]])
+
+
+DOMAIN_MONTH_SCHEMA = _monthly(
+    ("domain_id", "domain_name"), ("n_links", "n_retweeted", "n_tweets", "n_users")
+)
+LINK_MONTH_SCHEMA = _monthly(
+    ("normalized_url", "link_for_scraping"), ("n_retweeted", "n_tweets", "n_users")
+)
+
 # Prefix of the per-month columns in exported tables.
 MONTH_COLUMN_PREFIX = "nb_tweets_in_"
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linktally.functions.times import month_of, post_time
 from linktally.schemas import (
@@ -16,29 +20,45 @@ from linktally.schemas import (
 from linktally.sources.posts import list_files, read_csv_by_name
 
 
-def write_by_month(df: DataFrame, path: str, codec: str = "zstd", refresh: bool = False) -> None:
-    """Write a table partitioned by month, in place of an earlier one.
+def write_by_month(df: DataFrame, path: str, codec: str = "zstd") -> None:
+    """Write a table partitioned by month, in place of an earlier one."""
+    df.write.mode("overwrite").option("compression", codec).partitionBy("month").parquet(path)
+
 
-    With ``refresh`` only the months present in ``df`` are replaced.
+def refresh_by_month(df: DataFrame, path: str, months: Sequence[str], codec: str = "zstd") -> None:
+    """Replace the given months of a table; files of other months stay as they are.
+
+    ``df`` holds no other months. A dynamic overwrite leaves alone a month
+    without new rows, so the months are emptied first.
     """
-    writer = df.write.mode("overwrite").option("compression", codec).partitionBy("month")
-    if refresh:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    spark = df.sparkSession
+    columns = [field for field in df.schema if field.name != "month"]
+    nothing = spark.createDataFrame([], T.StructType(columns))
+    for month in months:
+        nothing.write.mode("overwrite").parquet(f"{path}/month={month}")
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", codec)
+        .partitionBy("month")
+        .parquet(path)
+    )
 
 
-def read_by_month(spark: SparkSession, path: str, schema=None) -> DataFrame:
+def read_by_month(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a table written by :func:`write_by_month`; ``month`` stays text."""
-    if schema is None:
-        found = spark.read.parquet(path).schema
-        names = [field.name for field in found if field.name != "month"]
-        schema = ", ".join([*[f"`{name}` {found[name].dataType.simpleString()}" for name in names], "month string"])
     return spark.read.schema(schema).parquet(path)
 
 
 def read_shares(spark: SparkSession, path: str) -> DataFrame:
     """Stored shares. A missing path or column raises."""
-    require_columns(spark.read.parquet(path).columns, SHARES_SCHEMA.names, path)
+    try:
+        present = spark.read.parquet(path).columns
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        present = SHARES_SCHEMA.names  # a table without a single row
+    require_columns(present, SHARES_SCHEMA.names, path)
     return read_by_month(spark, path, SHARES_SCHEMA)
 
 

@@ -30,7 +30,7 @@ from linktally.plans.reports import (
     platform_links_table,
 )
 from linktally.plans.shares import shares_from_posts, with_url_and_domain
-from linktally.schemas import POST_COLUMNS
+from linktally.schemas import DOMAIN_MONTH_SCHEMA, POST_COLUMNS
 from linktally.session import scratch_path
 from linktally.sources.exports import ranked, write_csv
 from linktally.sources.posts import read_bronze, read_posts, write_bronze
@@ -275,7 +275,7 @@ def month_refresh(spark, folder):
     stored = read_shares(spark, out.shares)
     write_rollups(stored.where(~F.col("month").isin(*REFRESHED)), out)
     write_rollups(stored, out, months=REFRESHED)
-    return read_by_month(spark, out.domain_month)
+    return read_by_month(spark, out.domain_month, DOMAIN_MONTH_SCHEMA)
 
 
 def _exported(spark, path) -> DataFrame:
