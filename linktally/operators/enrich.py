@@ -127,7 +127,7 @@ def channel_rollup(links: DataFrame) -> DataFrame:
         .groupBy("channel_id")
         .agg(
             *[F.min(name).alias(name) for name in texts],
-            *[F.sum(F.col(name).cast("bigint")).alias(name) for name in measures],
+            *[F.expr(f"sum(CAST(`{name}` AS BIGINT)) AS `{name}`") for name in measures],
             F.count("channel_id").alias("nb_links"),
         )
         .select(*texts, *measures, "channel_id", "nb_links")

@@ -70,7 +70,7 @@ def merge_months(
     columns = [F.sum(name).alias(name) for name in spec.distinct]
     if by_month:
         columns += [
-            F.sum(F.when(F.col("month") == month, F.col(by_month)).otherwise(0)).alias(month_column(month, prefix))
+            F.expr(f"sum(CASE WHEN month = '{month}' THEN `{by_month}` ELSE 0 END) AS `{month_column(month, prefix)}`")
             for month in months
         ]
     columns += [F.min(name).alias(name) for name in spec.carried]

@@ -56,8 +56,9 @@ def _csv_reader(spark: SparkSession, multiline: bool):
     )
 
 
-def _header(spark: SparkSession, file: str, multiline: bool) -> tuple[str, ...]:
-    return tuple(_csv_reader(spark, multiline).csv(_literal_path(file)).columns)
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names: a job that reads one line. A name broken over lines fails later, by name."""
+    return tuple(_csv_reader(spark, multiline=False).csv(_literal_path(file)).columns)
 
 
 def read_csv_by_name(
@@ -78,10 +79,10 @@ def read_csv_by_name(
     columns that are not needed. A file without a needed column raises.
     """
     if same_header:
-        groups = {_header(spark, files[0], multiline): list(files)}
+        groups = {_header(spark, files[0]): list(files)}
     else:
         with ThreadPoolExecutor(HEADER_READS) as pool:
-            headers = list(pool.map(lambda file: _header(spark, file, multiline), files))
+            headers = list(pool.map(lambda file: _header(spark, file), files))
         groups: dict[tuple[str, ...], list[str]] = {}
         for file, header in zip(files, headers):
             groups.setdefault(header, []).append(file)
