@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linktally.functions.settle import settle
+
 # The patterns of the normalisation rules.
 NOT_WEB = r"^(?i:mailto|javascript|data|tel|sms|about|blob|file):"
 SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?://)?"
@@ -99,6 +101,4 @@ def with_normalized_url(
     outputs = [normalized.alias(output)]
     if host:
         outputs.append(F.substring_index("_host", ":", 1).alias(host))
-    # A filter on the result would be moved below the stages, with all of them
-    # copied into it for each use. It does not move past a generator.
-    return staged.select(*keep, F.inline(F.array(F.struct(*outputs))))
+    return settle(staged.select(*keep, *outputs), *([output, host] if host else [output]))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linktally.functions.platforms import YOUTUBE, Platform, fold_aliases
+from linktally.functions.settle import settle
 from linktally.functions.suffixes import SuffixRules, suffix_rules
 from linktally.functions.urls import with_normalized_url
 from linktally.operators.domains import attribute_domain
@@ -25,7 +26,8 @@ def with_url_and_domain(
     rules = rules or suffix_rules(df.sparkSession)
     urls = with_normalized_url(df, link, host="_url_host")
     named = attribute_domain(urls, rules, "_url_host", "domain_name")
-    return named.drop("_url_host").withColumn("domain_name", fold_aliases(F.col("domain_name"), platforms))
+    folded = named.withColumn("domain_name", fold_aliases(F.col("domain_name"), platforms))
+    return settle(folded.drop("_url_host"), "domain_name")
 
 
 def shares_from_posts(

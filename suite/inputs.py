@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linktally.operators.links import spread_scan
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -40,7 +42,9 @@ def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
     links = page_links(spark, folder)
     order = F.col("o_orderkey")
     size = links.agg(F.count("*")).scalar()
-    posts = table(spark, folder, "orders").select(
+    columns = ("o_orderkey", "o_custkey", "o_orderdate")
+    orders = spread_scan(table(spark, folder, "orders").select(*columns), "o_orderkey")
+    posts = orders.select(
         order,
         order.cast("string").alias("id"),
         F.when(order % 97 == 1, "no time").otherwise(F.col("o_orderdate").cast("string")).alias("local_time"),
