@@ -23,13 +23,15 @@ class RollupSpec:
 
     ``distinct`` maps a measure to the column whose values it counts;
     ``carried`` maps an output to the column of which any value will do (the
-    smallest is taken, so results repeat). ``where`` builds the row filter.
+    smallest is taken, so results repeat). ``where`` builds the row filter;
+    ``skip_null_keys`` adds that every key has a value.
     """
 
     keys: tuple[str, ...]
     distinct: Mapping[str, str]
     carried: Mapping[str, str] = field(default_factory=dict)
     where: Callable[[], Column] | None = None
+    skip_null_keys: bool = False
 
 
 def monthly_rollup(df: DataFrame, spec: RollupSpec, month: str = "month") -> DataFrame:
@@ -38,14 +40,36 @@ def monthly_rollup(df: DataFrame, spec: RollupSpec, month: str = "month") -> Dat
     Spark shuffles on key, month *and* counted value, after removing repeats
     within each task, so a key holding a large share of all rows is spread over
     many tasks. The second step moves one row per key, month and task.
+
+    Carried columns are found apart and joined by key. In one aggregate their
+    text would make Spark sort every row, for the counts as well.
     """
+    keys = [*spec.keys, "month"]
+    others = {*spec.distinct.values(), *spec.carried.values()} - {*keys}
     rows = df.where(F.col(month).isNotNull())
     if spec.where is not None:
         rows = rows.where(spec.where())
-    return rows.groupBy(*spec.keys, F.col(month).alias("month")).agg(
-        *[F.count_distinct(column).alias(name) for name, column in spec.distinct.items()],
-        *[F.min(column).alias(name) for name, column in spec.carried.items()],
+    if spec.skip_null_keys:
+        rows = rows.dropna(subset=list(spec.keys))
+    rows = rows.select(*spec.keys, F.col(month).alias("month"), *sorted(others))
+    counts = rows.groupBy(*keys).agg(
+        *[F.count_distinct(column).alias(name) for name, column in spec.distinct.items()]
     )
+    for name, column in spec.carried.items():
+        values = rows.select(*keys, F.col(column).alias(name)).distinct()
+        smallest = values.groupBy(*keys).agg(F.min(name).alias(name))
+        if spec.skip_null_keys:
+            counts = counts.join(smallest, keys)  # both sides are already placed by key
+        else:
+            counts = _join_null_safe(counts, smallest, keys)
+    return counts
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join two tables with the same unique keys; a null key matches a null key."""
+    renamed = right.withColumnsRenamed({key: f"_{key}" for key in keys})
+    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+    return left.join(renamed, same).drop(*[f"_{key}" for key in keys])
 
 
 def present_months(df: DataFrame) -> list[str]:

@@ -21,7 +21,8 @@ DOMAINS = RollupSpec(
         "n_tweets": "tweet_id",
         "n_users": "user_id",
     },
-    where=lambda: F.col("domain_name").isNotNull() & (F.col("domain_name") != ""),
+    where=lambda: F.col("domain_name") != "",
+    skip_null_keys=True,
 )
 
 # The columns of the exported tables.
@@ -45,7 +46,8 @@ def platform_spec(platform: Platform = YOUTUBE) -> RollupSpec:
         keys=("normalized_url",),
         distinct={"n_retweeted": "retweeted_id", "n_tweets": "tweet_id", "n_users": "user_id"},
         carried={"link_for_scraping": "link"},
-        where=lambda: (F.col("domain_name") == platform.name) & F.col("normalized_url").isNotNull(),
+        where=lambda: F.col("domain_name") == platform.name,
+        skip_null_keys=True,
     )
 
 

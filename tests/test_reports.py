@@ -1,4 +1,5 @@
 import datetime
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from linktally.operators.enrich import (
     unify_records,
     video_links,
 )
-from linktally.operators.rollup import present_months
+from linktally.operators.links import spread_scan
+from linktally.operators.rollup import RollupSpec, monthly_rollup, present_months
 from linktally.plans.reports import (
     DOMAIN_LABELS,
     domain_month,
@@ -247,3 +249,28 @@ def test_checks(spark):
         "nb_without_url": 1,
         "nb_without_domain": 2,
     }
+
+
+def test_null_keys_are_a_group_unless_skipped(spark):
+    rows = [(None, "2022-01", "x", "b"), (None, "2022-01", "y", "a"), ("k", "2022-01", "x", None), ("k", None, "z", "c")]
+    df = spark.createDataFrame(rows, "key string, month string, value string, other string")
+    spec = RollupSpec(keys=("key",), distinct={"n": "value"}, carried={"any": "other"})
+    expected = {None: (2, "a"), "k": (1, None)}
+    assert {row["key"]: (row["n"], row["any"]) for row in monthly_rollup(df, spec).collect()} == expected
+    del expected[None]
+    skipping = replace(spec, skip_null_keys=True)
+    assert {row["key"]: (row["n"], row["any"]) for row in monthly_rollup(df, skipping).collect()} == expected
+
+
+def test_counted_and_carried_columns_may_be_keys(spark):
+    df = spark.createDataFrame([("k", "2022-01"), ("k", "2022-01")], "key string, month string")
+    spec = RollupSpec(keys=("key",), distinct={"n": "key"}, carried={"any": "key"})
+    assert [tuple(row) for row in monthly_rollup(df, spec).collect()] == [("k", "2022-01", 1, "k")]
+
+
+def test_spread_scan(spark):
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    spread = spread_scan(orders, "o_orderkey")
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread_scan(orders.repartition(20), "o_orderkey").rdd.getNumPartitions() == 20
+    assert spread.exceptAll(orders).count() == 0
