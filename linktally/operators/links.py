@@ -60,12 +60,12 @@ def cluster_by_month(posts: DataFrame, slices: int | None = None) -> DataFrame:
     """
     if slices is None:
         slices = max(1, int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
-    slice_number = F.pmod(F.monotonically_increasing_id(), F.lit(slices))
-    return (
-        posts.withColumn("_slice", slice_number)
-        .hint("rebalance", "month", "_slice")
-        .drop("_slice")
-    )
+    sliced = posts.withColumn("_slice", F.pmod(F.monotonically_increasing_id(), F.lit(slices)))
+    if posts.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        shuffled = sliced.hint("rebalance", "month", "_slice")
+    else:  # the hint is then without effect
+        shuffled = sliced.repartition("month", "_slice")
+    return shuffled.drop("_slice")
 
 
 def explode_links(posts: DataFrame) -> DataFrame:

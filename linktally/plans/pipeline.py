@@ -142,6 +142,7 @@ def run_pipeline(
     refresh_months: Sequence[str] | None = None,
     null_zero_ids: bool = True,
     strict_time: bool = False,
+    codec: str = "zstd",
     **csv_options,
 ) -> Outputs:
     """Run everything and return where the results are.
@@ -149,6 +150,7 @@ def run_pipeline(
     ``shares_path`` continues from stored shares in place of ``inputs``.
     ``refresh_months`` takes only these months from the inputs and replaces
     them in the tables of an earlier run; the exports then cover all months.
+    ``codec`` compresses the shares table; ``csv_options`` go to ``read_posts``.
     Without ``video_metadata`` (``video_id``, ``channel_id``) the channel report
     holds direct channel links only. The stored tables are where lineage ends:
     a lost executor costs a stage, not the run.
@@ -164,9 +166,9 @@ def run_pipeline(
             posts, rules, (platform,), null_zero_ids, strict_time, cluster=True, months=refresh_months
         )
         if refresh_months is None:
-            write_by_month(shares, outputs.shares)
+            write_by_month(shares, outputs.shares, codec)
         else:
-            refresh_by_month(shares, outputs.shares, refresh_months)
+            refresh_by_month(shares, outputs.shares, refresh_months, codec)
         shares_path = outputs.shares
     shares = read_shares(spark, shares_path)
     write_rollups(shares, outputs, platform, refresh_months)

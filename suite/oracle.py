@@ -310,6 +310,7 @@ count(*) - count(normalized_url) AS nb_without_url, count(*) - count(domain_name
 SELECT count(*) FILTER (WHERE link_kind = 'channel' AND channel_id IS NULL) AS nb_channel_links_without_id FROM classified""",
     "csv_roundtrip": DOMAINS_TOTAL_SQL,
     "bronze_roundtrip": LINK_MONTH_SQL,
+    "parsed_links_read": f"{SHARES} SELECT * FROM shares",
     "metadata_roundtrip": f"WITH {METADATA} SELECT video_id, channel_id FROM video_metadata",
     "shares_stored": f"{SHARES} SELECT * FROM shares WHERE month = '{ONE_MONTH}'",
     "month_refresh": DOMAIN_MONTH_SQL,

@@ -30,11 +30,17 @@ from linktally.plans.reports import (
     platform_links_table,
 )
 from linktally.plans.shares import shares_from_posts, with_url_and_domain
-from linktally.schemas import DOMAIN_MONTH_SCHEMA, POST_COLUMNS
+from linktally.schemas import DOMAIN_MONTH_SCHEMA, PARSED_LINK_COLUMNS, POST_COLUMNS
 from linktally.session import scratch_path
 from linktally.sources.exports import ranked, write_csv
 from linktally.sources.posts import read_bronze, read_posts, write_bronze
-from linktally.sources.tables import read_by_month, read_metadata, read_shares, write_by_month
+from linktally.sources.tables import (
+    read_by_month,
+    read_metadata,
+    read_parsed_links,
+    read_shares,
+    write_by_month,
+)
 from suite.inputs import (
     channel_records,
     page_links,
@@ -255,6 +261,16 @@ def bronze_roundtrip(spark, folder):
     return platform_link_month(shares_from_posts(read_bronze(spark, path)))
 
 
+def parsed_links_read(spark, folder):
+    """Shares from parsed-link files: gzip Parquet under an earlier tool's names."""
+    path = scratch_path(spark, "parsed")
+    renamed = _shares(spark, folder).withColumnsRenamed({"tweet_id": "id", "domain_name": "domain"})
+    text_time = F.coalesce(F.col("local_time").cast("string"), F.lit("no time"))
+    files = renamed.withColumn("local_time", text_time).select(*PARSED_LINK_COLUMNS)
+    files.write.option("compression", "gzip").parquet(path)
+    return read_parsed_links(spark, path)
+
+
 def metadata_roundtrip(spark, folder):
     path = scratch_path(spark, "metadata")
     write_csv(video_metadata(spark, folder), path)
@@ -341,6 +357,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nameless_channel_links": nameless_channel_links,
     "csv_roundtrip": csv_roundtrip,
     "bronze_roundtrip": bronze_roundtrip,
+    "parsed_links_read": parsed_links_read,
     "metadata_roundtrip": metadata_roundtrip,
     "shares_stored": shares_stored,
     "month_refresh": month_refresh,

@@ -154,3 +154,9 @@ def test_cluster_keeps_rows_and_spreads_copies(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     copies = Counter(row["task"] for row in rows if row["tweet_id"] == "1")
     assert len(copies) > 4 and max(copies.values()) < 500
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert cluster_by_month(posts, slices=16).exceptAll(posts).count() == 0
+        assert cluster_by_month(posts, slices=16).rdd.getNumPartitions() == 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
