@@ -25,7 +25,13 @@ from linktally.plans.shares import shares_from_posts
 from linktally.schemas import DOMAIN_MONTH_SCHEMA, LINK_MONTH_SCHEMA, require_columns
 from linktally.sources.exports import ranked, write_csv
 from linktally.sources.posts import DEFAULT_PATTERN, read_posts
-from linktally.sources.tables import read_by_month, read_shares, refresh_by_month, write_by_month
+from linktally.sources.tables import (
+    SHARES_ORDER,
+    read_by_month,
+    read_shares,
+    refresh_by_month,
+    write_by_month,
+)
 
 
 @dataclass(frozen=True)
@@ -166,9 +172,9 @@ def run_pipeline(
             posts, rules, (platform,), null_zero_ids, strict_time, cluster=True, months=refresh_months
         )
         if refresh_months is None:
-            write_by_month(shares, outputs.shares, codec)
+            write_by_month(shares, outputs.shares, codec, SHARES_ORDER)
         else:
-            refresh_by_month(shares, outputs.shares, refresh_months, codec)
+            refresh_by_month(shares, outputs.shares, refresh_months, codec, SHARES_ORDER)
         shares_path = outputs.shares
     shares = read_shares(spark, shares_path)
     write_rollups(shares, outputs, platform, refresh_months)

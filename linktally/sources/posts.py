@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from pathlib import PurePosixPath
@@ -18,6 +19,10 @@ DEFAULT_PATTERN = "**/*.gz"
 HEADER_READS = 16
 
 
+def _without_scheme(name: str) -> str:
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", name)
+
+
 def list_files(spark: SparkSession, path: str, pattern: str = DEFAULT_PATTERN) -> list[str]:
     """The file at ``path``, or the files below it that match ``pattern``.
 
@@ -25,18 +30,18 @@ def list_files(spark: SparkSession, path: str, pattern: str = DEFAULT_PATTERN) -
     A path that does not exist raises, as does a folder without a match.
     """
     root = path.rstrip("/")
-    if "://" not in root and os.path.exists(root):
+    if os.path.exists(root):  # a local path may be relative
         root = os.path.abspath(root)
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path").collect()
     )
-    files = sorted(row["path"] for row in listing)
-    if len(files) == 1 and files[0].endswith(root.split("://")[-1]):
-        return files
-    tail = root.split("://")[-1] + "/"
-    matching = [
-        name for name in files if PurePosixPath(name.split(tail, 1)[-1]).full_match(pattern)
-    ]
+    base = _without_scheme(root)
+    matching = []
+    for name in sorted(row["path"] for row in listing):
+        before, _, below = _without_scheme(name).partition(base)
+        is_the_path_itself = not below and (not before or not base.startswith("/"))
+        if is_the_path_itself or PurePosixPath(below.lstrip("/")).full_match(pattern):
+            matching.append(name)
     if not matching:
         raise FileNotFoundError(f"no file below {path} matches {pattern}")
     return matching

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,12 +20,27 @@ from linktally.schemas import (
 from linktally.sources.posts import list_files, read_csv_by_name
 
 
-def write_by_month(df: DataFrame, path: str, codec: str = "zstd") -> None:
-    """Write a table partitioned by month, in place of an earlier one."""
-    df.write.mode("overwrite").option("compression", codec).partitionBy("month").parquet(path)
+# Within a file, shares of one domain and URL lie together: the files are smaller,
+# and a filter on the domain skips the row groups of others.
+SHARES_ORDER = ("domain_name", "normalized_url")
 
 
-def refresh_by_month(df: DataFrame, path: str, months: Sequence[str], codec: str = "zstd") -> None:
+def _by_month(df: DataFrame, codec: str, order: Sequence[str]) -> DataFrameWriter:
+    rows = df.sortWithinPartitions("month", *order) if order else df
+    return rows.write.mode("overwrite").option("compression", codec).partitionBy("month")
+
+
+def write_by_month(df: DataFrame, path: str, codec: str = "zstd", order: Sequence[str] = ()) -> None:
+    """Write a table partitioned by month, in place of an earlier one.
+
+    ``order`` sorts the rows within each file.
+    """
+    _by_month(df, codec, order).parquet(path)
+
+
+def refresh_by_month(
+    df: DataFrame, path: str, months: Sequence[str], codec: str = "zstd", order: Sequence[str] = ()
+) -> None:
     """Replace the given months of a table; files of other months stay as they are.
 
     ``df`` holds no other months. A dynamic overwrite leaves alone a month
@@ -36,13 +51,7 @@ def refresh_by_month(df: DataFrame, path: str, months: Sequence[str], codec: str
     nothing = spark.createDataFrame([], T.StructType(columns))
     for month in months:
         nothing.write.mode("overwrite").parquet(f"{path}/month={month}")
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", codec)
-        .partitionBy("month")
-        .parquet(path)
-    )
+    _by_month(df, codec, order).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_by_month(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

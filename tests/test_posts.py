@@ -28,13 +28,20 @@ def names(files, root):
     return [name.split(str(root) + "/")[1] for name in files]
 
 
-def test_list_files(spark, tmp_path):
+def test_list_files(spark, tmp_path, monkeypatch):
     for name in ("a.csv.gz", "b.csv", "deep/er/c.csv.gz", "deep/d[1].csv"):
         write(tmp_path / name, HEADER + "\n")
     assert names(list_files(spark, str(tmp_path)), tmp_path) == ["a.csv.gz", "deep/er/c.csv.gz"]
     assert names(list_files(spark, str(tmp_path), "*.csv"), tmp_path) == ["b.csv"]
     assert names(list_files(spark, str(tmp_path) + "/", "deep/*.csv"), tmp_path) == ["deep/d[1].csv"]
     assert len(list_files(spark, str(tmp_path / "b.csv"), "**/*.gz")) == 1
+    assert len(list_files(spark, "file:" + str(tmp_path / "b.csv"))) == 1
+    assert names(list_files(spark, "file://" + str(tmp_path), "*.csv"), tmp_path) == ["b.csv"]
+    monkeypatch.chdir(tmp_path)
+    assert names(list_files(spark, "deep"), tmp_path) == ["deep/er/c.csv.gz"]
+    write(tmp_path / "one/two/one", HEADER + "\n")
+    with pytest.raises(FileNotFoundError):
+        list_files(spark, "one")
     with pytest.raises(FileNotFoundError):
         list_files(spark, str(tmp_path), "*.parquet")
     with pytest.raises(AnalysisException):
