@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linktally.functions.platforms import CHANNEL, VIDEO, YOUTUBE, Platform, link_channel_id, link_kind, video_id
+from linktally.functions.settle import settle
 from linktally.schemas import METADATA_FIELDS, metadata_type
 
 # Columns that classify_links adds.
@@ -36,13 +37,24 @@ def channel_links(classified: DataFrame) -> DataFrame:
     return classified.where(keep).drop("video_id", "link_kind")
 
 
+def _shuffled_for_join(unique: DataFrame, *keys: str) -> DataFrame:
+    """Let the join that follows shuffle a table that is already placed by key.
+
+    Adaptive execution splits a hot key's rows on the other side only where both
+    sides of the join come straight from a shuffle, which an aggregate does not.
+    Settling the keys hides their placement; the table has one row per key.
+    """
+    return settle(unique, *keys)
+
+
 def video_channels(metadata: DataFrame) -> DataFrame:
     """``(video_id, channel_id)``, one row per video, so a join adds no rows."""
-    return (
+    unique = (
         metadata.where(F.col("video_id").isNotNull())
         .groupBy("video_id")
         .agg(F.min("channel_id").alias("channel_id"))
     )
+    return _shuffled_for_join(unique, "video_id")
 
 
 def attach_channels(classified: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -90,7 +102,7 @@ def unify_records(videos: DataFrame, channels: DataFrame) -> DataFrame:
 def _keyed_records(records: DataFrame) -> DataFrame:
     """One whole record per kind and id: the largest, so a known value beats a null."""
     kind = F.when(F.col("video_id").isNotNull(), VIDEO).otherwise(CHANNEL)
-    return (
+    unique = (
         records.select(
             kind.alias("link_kind"),
             F.coalesce("video_id", "channel_id").alias("_key"),
@@ -100,6 +112,7 @@ def _keyed_records(records: DataFrame) -> DataFrame:
         .groupBy("link_kind", "_key")
         .agg(F.max("_record").alias("_record"))
     )
+    return _shuffled_for_join(unique, "link_kind", "_key")
 
 
 def attach_metadata(classified: DataFrame, records: DataFrame) -> DataFrame:

@@ -193,3 +193,12 @@ def test_csv_keeps_awkward_text(spark, tmp_path):
     write_csv(df, str(tmp_path / "out"))
     back = spark.read.options(header=True, escape='"', multiLine=True).csv(str(tmp_path / "out"))
     assert sorted((row["v"] for row in back.collect()), key=str) == sorted((row[0] for row in rows), key=str)
+
+
+def test_shares_are_ordered_within_files(spark, run):
+    _, out = run
+    rows = spark.read.parquet(out.shares).where("month = '2022-02'").select(F.input_file_name(), "domain_name").collect()
+    assert len(rows) == 3
+    for file in {row[0] for row in rows}:
+        domains = [row[1] for row in rows if row[0] == file]
+        assert domains == sorted(domains)

@@ -5,7 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from linktally.operators.enrich import attach_channels, classify_links
+from linktally.operators.enrich import (
+    attach_channels,
+    channel_rollup,
+    classify_links,
+    links_with_channel,
+)
 from linktally.operators.links import clean_posts
 from linktally.plans.reports import domain_month, domains_table, platform_link_month
 from linktally.plans.shares import shares_from_posts, with_url_and_domain
@@ -87,3 +92,35 @@ def test_filters_do_not_repeat_the_url_rules(spark):
 def test_no_python_in_plans(spark, name):
     plan = plan_of(QUERIES[name](spark, SMALL))
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
+
+
+def test_hot_video_is_split_in_the_metadata_join(spark):
+    """A third of the links lead to one video; adaptive execution splits them."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    number = F.col("id")
+    video = F.substring(F.md5(F.when(number % 3 == 0, 0).otherwise(number).cast("string")), 1, 11)
+    links = spark.range(0, 300_000, 1, 8).select(
+        F.concat(F.lit("youtu.be/"), video, F.lit("?t="), F.md5(number.cast("string"))).alias("normalized_url"),
+        F.lit("l").alias("link_for_scraping"),
+    )
+    metadata = spark.range(0, 300_000, 1, 8).select(
+        F.substring(F.md5(number.cast("string")), 1, 11).alias("video_id"),
+        F.concat(F.lit("UC"), number % 100).alias("channel_id"),
+    )
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        rolled = channel_rollup(links_with_channel(classify_links(links), metadata))
+        counts = [row["nb_links"] for row in rolled.collect()]
+        plan = rolled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(counts) == 300_000 and max(counts) > 100_000
+    assert "SortMergeJoin(skew=true)" in plan
