@@ -33,11 +33,15 @@ def build_session(app_name: str = "linktally", master: str | None = None, **conf
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder that the cluster names.
 
-    Only where ``spark.checkpoint.dir`` is unset (a local run) is a temporary
-    folder made, and then kept as the setting for the rest of the session.
+    Only a local run, whose executors share the driver's disk, may leave
+    ``spark.checkpoint.dir`` unset: a temporary folder is then made and kept as
+    the setting for the rest of the session. Elsewhere an unset folder raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="linktally-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
