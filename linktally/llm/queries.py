@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from linktally.llm.bpe import op9_bpe
 from linktally.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from linktally.llm.merkle import OP10_SQL, op10_merkle_audit
+from linktally.llm.mixing import op2_mixing
+from linktally.llm.quotes import op5_quotes
+from linktally.llm.topk import OP7_SQL, op7_topk
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_mixing": op2_mixing,
+    "op5_quotes": op5_quotes,
+    "op7_topk": op7_topk,
     "op9_bpe": op9_bpe,
+    "op10_merkle_audit": op10_merkle_audit,
 }
 
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op7_topk": OP7_SQL,
+    "op10_merkle_audit": OP10_SQL,
 }
