@@ -8,12 +8,14 @@ from linktally.llm.merkle import OP10_SQL, op10_merkle_audit
 from linktally.llm.mixing import op2_mixing
 from linktally.llm.quotes import op5_quotes
 from linktally.llm.topk import OP7_SQL, op7_topk
+from linktally.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
     "op5_quotes": op5_quotes,
     "op7_topk": op7_topk,
+    "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_merkle_audit": op10_merkle_audit,
 }
