@@ -57,12 +57,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges that hold about ``limit`` bytes each, one row at least."""
+def slices(offsets: np.ndarray, limit: int = SLICE_BYTES, most: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Ranges of ``most`` rows at most that hold about ``limit`` bytes each, one row at least."""
     start, rows = 0, len(offsets) - 1
     while start < rows:
         end = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
-        end = min(max(end, start + 1), rows)
+        end = min(max(end, start + 1), start + most, rows)
         yield start, end
         start = end
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from linktally.llm.bpe import op9_bpe
 from linktally.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from linktally.llm.jaccard import OP4_SQL, op4_jaccard
 from linktally.llm.merkle import OP10_SQL, op10_merkle_audit
 from linktally.llm.mixing import op2_mixing
 from linktally.llm.quotes import op5_quotes
@@ -13,6 +14,7 @@ from linktally.llm.toxicity import op8_toxicity
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
+    "op4_jaccard": op4_jaccard,
     "op5_quotes": op5_quotes,
     "op7_topk": op7_topk,
     "op8_toxicity": op8_toxicity,
@@ -22,6 +24,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op4_jaccard": OP4_SQL,
     "op7_topk": OP7_SQL,
     "op10_merkle_audit": OP10_SQL,
 }
