@@ -42,34 +42,33 @@ def _roots(messages: DataFrame) -> DataFrame:
     """``conv, turn, root, depth``: the first ancestor and the number of steps to it.
 
     Pointers double: after round r a message knows its ancestor ``2 ** r`` steps up.
+    Only messages that have not met a first one yet go through the next round.
     Parents have smaller turns, so there is no cycle.
     """
-    known = cut(
-        messages.select(
-            _CONV,
-            _TURN,
-            F.coalesce("reply_to", _TURN).alias("root"),
-            F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long").alias("depth"),
-        ),
-        "quotes-roots",
+    start = messages.select(
+        _CONV,
+        _TURN,
+        F.coalesce("reply_to", _TURN).alias("root"),
+        F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long").alias("depth"),
+        F.col("reply_to").isNull().alias("done"),
     )
-    while True:
-        above = known.select(
-            F.col(_CONV), F.col(_TURN).alias("root"), F.col("root").alias("up"), F.col("depth").alias("more")
+    finished, active = start.where("done"), start.where("NOT done")
+    while not active.isEmpty():
+        above = finished.unionByName(active).select(
+            F.col(_CONV),
+            F.col(_TURN).alias("root"),
+            F.col("root").alias("up"),
+            F.col("depth").alias("more"),
+            F.col("done").alias("met"),
         )
-        known = cut(
-            known.join(above, [_CONV, "root"], "left").select(
-                _CONV,
-                _TURN,
-                F.coalesce("up", "root").alias("root"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                (F.coalesce("more", F.lit(0)) > 0).alias("moved"),
+        moved = cut(
+            active.join(above, [_CONV, "root"]).select(
+                _CONV, _TURN, F.col("up").alias("root"), (F.col("depth") + F.col("more")).alias("depth"), F.col("met").alias("done")
             ),
             "quotes-roots",
         )
-        if known.where("moved").isEmpty():
-            return known.drop("moved")
-        known = known.drop("moved")
+        finished, active = finished.unionByName(moved.where("done")), moved.where("NOT done")
+    return finished.drop("done")
 
 
 def link_quotes(
