@@ -7,6 +7,7 @@ from linktally.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from linktally.llm.jaccard import OP4_SQL, op4_jaccard
 from linktally.llm.merkle import OP10_SQL, op10_merkle_audit
 from linktally.llm.mixing import op2_mixing
+from linktally.llm.ppm import op3_ppm
 from linktally.llm.quotes import op5_quotes
 from linktally.llm.topk import OP7_SQL, op7_topk
 from linktally.llm.toxicity import op8_toxicity
@@ -14,6 +15,7 @@ from linktally.llm.toxicity import op8_toxicity
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
+    "op3_ppm": op3_ppm,
     "op4_jaccard": op4_jaccard,
     "op5_quotes": op5_quotes,
     "op7_topk": op7_topk,
