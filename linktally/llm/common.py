@@ -37,7 +37,7 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: lineage ends, the work is done once."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -33,8 +33,10 @@ from linktally.llm.common import crc_rest, cut, lowered, quoted, slices, span_ha
 
 #: Symbols: the bytes, the end of the text, and the start, which is only ever a context.
 END, START, SYMBOLS, BITS = 256, 257, 257, 9
+#: Keys of words have this bit, keys of contexts do not.
+WORD = np.int64(-1 << 63)
 #: Bytes of text dealt to one bucket.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 32 << 20
 
 
 class Trie:
@@ -111,46 +113,40 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 def _word_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = lowered(data)
     opens, closes, sizes = words(data, offsets)
-    return span_hashes(data, opens, closes).view(np.int64), sizes
+    return span_hashes(data, opens, closes).view(np.int64) | WORD, sizes
 
 
 def _tally(order: int):
-    """Distinct words (kind 0) and context keys (kind 1) of each bucket, with training counts."""
+    """Distinct keys of words and contexts of each bucket, with training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
             of_row = batch["bucket"].to_numpy()
             for bucket in np.unique(of_row):
                 own = batch.filter(pa.array(of_row == bucket))
                 train_rows = ~np.array(own["held_out"].to_pylist(), dtype=bool)
                 for start, end, data, offsets in _texts(own["text"]):
-                    for kind in (0, 1):
-                        if kind:
-                            keys, ends = gram_keys(data, offsets, order)
-                            sizes = np.diff(ends)
-                        else:
-                            keys, sizes = _word_keys(data, offsets)
+                    pieces = found.setdefault(int(bucket), [])
+                    grams, ends = gram_keys(data, offsets, order)
+                    for keys, sizes in ((grams, np.diff(ends)), _word_keys(data, offsets)):
                         train = np.repeat(train_rows[start:end], sizes)
-                        pieces = found.setdefault((int(bucket), kind), [])
                         for learned in (True, False):
                             unique, counts = np.unique(keys[train == learned], return_counts=True)
                             pieces.append((unique, counts * learned))
-                        if len(pieces) >= 16:
-                            pieces[:] = [_merged(*(np.concatenate(x) for x in zip(*pieces)))]
-        for (bucket, kind), pieces in found.items():
+                    if len(pieces) >= 16:
+                        pieces[:] = [_merged(*(np.concatenate(x) for x in zip(*pieces)))]
+        for bucket, pieces in found.items():
             keys, counts = _merged(*(np.concatenate(x) for x in zip(*pieces)))
             for at in range(0, len(keys), 1 << 18):
                 lot = slice(at, at + (1 << 18))
-                size = len(keys[lot])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(size, bucket, dtype=np.int64)),
-                        pa.array(np.full(size, kind, dtype=np.int8)),
+                        pa.array(np.full(len(keys[lot]), bucket, dtype=np.int64)),
                         pa.array(keys[lot]),
                         pa.array(counts[lot]),
                     ],
-                    names=["bucket", "kind", "key", "seen"],
+                    names=["bucket", "key", "seen"],
                 )
 
     return run
@@ -231,7 +227,7 @@ def _priced(order: int, short):
         levels = Levels(keys, counts, order)
         for size, (table, sums) in enumerate(short.value):
             levels.replace(size, table, sums)
-        return pd.DataFrame({"kind": np.int8(1), "key": keys, "value": levels.log10(keys)})
+        return pd.DataFrame({"key": keys, "value": levels.log10(keys)})
 
     return run
 
@@ -266,17 +262,15 @@ def _scored(order: int, totals: tuple[int, int, int]):
             return pd.DataFrame({name: [] for name in names})
         texts = pa.array(frame["text"], pa.string())
         held = frame["held_out"].to_numpy(dtype=bool)
-        returned = []
-        for kind in (0, 1):
-            own = prices[prices["kind"] == kind]
-            place = np.argsort(own["key"].to_numpy())
-            returned.append((own["key"].to_numpy()[place], own["value"].to_numpy()[place]))
-        gram_table, gram_prices = returned[1]
+        place = np.argsort(prices["key"].to_numpy())
+        table, values = prices["key"].to_numpy()[place], prices["value"].to_numpy()[place]
+        first = int(np.searchsorted(table, 0))  # words are below zero
+        gram_table, gram_prices = table[first:], values[first:]
         said = []
         for start, end, data, offsets in _texts(texts):
             keys, sizes = _word_keys(data, offsets)
             said.append(keys[np.repeat(~held[start:end], sizes)])
-        counts = WordCounts(*returned[0], said)
+        counts = WordCounts(table[:first], values[:first], said)
         scale = math.log10(train_tokens + 0.5 * (distinct + 1))
         parts = []
         for start, end, data, offsets in _texts(texts):
@@ -360,13 +354,13 @@ def score_pretrained(
         (F.spark_partition_id().cast("long") * subs + F.pmod(F.xxhash64(ids, text_of(text_col)), F.lit(subs))).alias("bucket"),
     )
     tallied = cut(
-        base.select("bucket", "held_out", "text").mapInArrow(_tally(order), "bucket long, kind byte, key long, seen long"),
+        base.select("bucket", "held_out", "text").mapInArrow(_tally(order), "bucket long, key long, seen long"),
         "ppm-tallied",
     )
     model = cut(
-        tallied.groupBy("kind", "key").agg(F.sum("seen").alias("seen"), F.count("*").alias("buckets")), "ppm-model"
+        tallied.groupBy("key").agg(F.sum("seen").alias("seen"), F.count("*").alias("buckets")), "ppm-model"
     )
-    grams, terms = model.where("kind = 1"), model.where("kind = 0")
+    grams, terms = model.where("key >= 0"), model.where("key < 0")
     sums = terms.agg(F.coalesce(F.sum("seen"), F.lit(0)).alias("tokens"), F.count_if(F.col("seen") > 0).alias("distinct")).first()
     ends = docs.where(crc_rest(id_col) != held_out_rest).count()
     totals = (sums["tokens"] + ends, sums["distinct"] + int(ends > 0), ends)
@@ -381,10 +375,10 @@ def score_pretrained(
     pair = F.shiftright("key", BITS).bitwiseAND(F.lit((1 << (2 * BITS)) - 1))
     lots = max(math.ceil(grams.count() / 50_000), 64)
     priced = grams.groupBy(F.pmod(F.xxhash64(pair), F.lit(lots)).alias("lot")).applyInPandas(
-        _priced(order, shared), "kind byte, key long, value double"
+        _priced(order, shared), "key long, value double"
     )
-    counted = terms.where("buckets > 1").select("kind", "key", F.col("seen").cast("double").alias("value"))
-    back = tallied.select("bucket", "kind", "key").join(priced.unionByName(counted), ["kind", "key"])
+    counted = terms.where("buckets > 1").select("key", F.col("seen").cast("double").alias("value"))
+    back = tallied.select("bucket", "key").join(priced.unionByName(counted), "key")
     scored = (
         base.groupBy("bucket")
         .cogroup(back.groupBy("bucket"))
