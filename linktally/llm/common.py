@@ -16,7 +16,7 @@ from linktally.session import scratch_path
 SPACES = r"[\x20\x09-\x0D]+"
 
 #: Bytes of text worked on at once inside a task; bounds the arrays made from them.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 18
 
 
 def text_of(name: str) -> Column:
@@ -99,6 +99,14 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     )
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending. Sorting is faster here than hashing."""
+    values = np.sort(values)
+    fresh = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=fresh[1:])
+    return values[fresh]
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     values = values.copy()

@@ -10,8 +10,8 @@ over the tokens of all documents; a wrong class costs time, never a link.
 
 Members of an index list are compared by 512-bit parity sketches: the number of
 differing bits never exceeds the number of tokens in only one of two sets, so no
-similar pair is lost. Surviving pairs are verified on the sets themselves, in two
-rounds: first each set with one partner; then, over the components found so far,
+similar pair is lost. What survives is compared by sketches of about a bit per
+token, and what survives that is verified on the sets themselves, in two rounds: first each set with one partner; then, over the components found so far,
 every surviving pair that lies in different components. So the copies of a large
 group are not all paired, and no link between components is missed.
 
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linktally.llm.common import cut, lowered, mixed, quoted, slices, span_hashes, text_of, utf8, words
+from linktally.llm.common import cut, distinct, lowered, mixed, quoted, slices, span_hashes, text_of, utf8, words
 from linktally.llm.components import connected
 
 #: A token is 52 bits of a hash, so that a row number fits above it while sorting.
@@ -46,6 +46,9 @@ MOST_PAIRED = 64
 BLOCK = 4096
 #: Pairs compared at once.
 PAIRS = 1 << 18
+#: Of sets too large for 512 bits, lists of so many members give all pairs at once
+#: to the larger sketches, not one for each member.
+LARGE, SHORT_LIST = 1024, 64
 
 SKETCH = [f"s{i}" for i in range(8)]
 _MASK = np.uint64((1 << TOKEN_BITS) - 1)
@@ -71,7 +74,7 @@ def shingle_tokens(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np
     used = full | short
     tokens = mixed(total[: len(hashes)][used] + np.minimum(counts[rows[used]], size).astype(np.uint64)) >> np.uint64(64 - TOKEN_BITS)
     codes = (rows[used].astype(np.uint64) << np.uint64(TOKEN_BITS)) | tokens
-    codes = np.unique(codes)
+    codes = distinct(codes)
     return (codes >> np.uint64(TOKEN_BITS)).astype(np.int64), codes & _MASK
 
 
@@ -97,6 +100,17 @@ def sketches(rows: np.ndarray, tokens: np.ndarray, count: int) -> np.ndarray:
     return np.packbits(parity.reshape(count, 512), axis=1, bitorder="little").view(np.int64)
 
 
+def long_sketches(tokens: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """Parity of the tokens on each of 512 bits or more, the next power of two to their number."""
+    spread = mixed(tokens + np.uint64(0xFEDCBA))
+    out = []
+    for start, end in zip(ends[:-1], ends[1:]):
+        bits = 1 << max(int(end - start - 1).bit_length(), 9)
+        places = (spread[start:end] & np.uint64(bits - 1)).astype(np.int64)
+        out.append(np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes())
+    return out
+
+
 def _parts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Row range, row numbers inside it, tokens and row ends of each slice of a batch."""
     data, offsets = utf8(batch["text"])
@@ -129,10 +143,11 @@ def _sign(size: int):
                         pa.array(b),
                         pa.array(np.diff(ends)),
                         *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(8)],
+                        pa.array(long_sketches(tokens, ends), pa.binary()),
                         pa.nulls(end - start, pa.int32()),
                         pa.nulls(end - start, pa.binary()),
                     ],
-                    names=["id", "a", "b", "n", *SKETCH, "chunk", "counts"],
+                    names=["id", "a", "b", "n", *SKETCH, "parity", "chunk", "counts"],
                 )
         if id_type is not None:
             chunks = COUNTERS // CHUNK
@@ -140,10 +155,11 @@ def _sign(size: int):
                 [
                     pa.nulls(chunks, id_type),
                     *[pa.nulls(chunks, pa.int64()) for _ in range(11)],
+                    pa.nulls(chunks, pa.binary()),
                     pa.array(range(chunks), pa.int32()),
                     pa.array([c.astype("<u4").tobytes() for c in counters.reshape(chunks, CHUNK)], pa.binary()),
                 ],
-                names=["id", "a", "b", "n", *SKETCH, "chunk", "counts"],
+                names=["id", "a", "b", "n", *SKETCH, "parity", "chunk", "counts"],
             )
 
     return run
@@ -323,6 +339,7 @@ def _candidates(percent: int, first_only: bool):
             sizes = np.diff(np.concatenate([starts, [len(a)]]))
             place = np.arange(len(a)) - np.repeat(starts, sizes)
             begin = np.arange(len(a)) - place
+            length = np.repeat(sizes, sizes)
             crossed = columns["block"] != columns["block2"]
             work = np.concatenate([[0], np.cumsum(place)])
             at = 0
@@ -343,6 +360,7 @@ def _candidates(percent: int, first_only: bool):
                     keep = np.zeros(len(i), dtype=bool)
                     keep[np.unique(j, return_index=True)[1]] = True
                     keep[np.unique(i, return_index=True)[1]] = True
+                    keep |= (n[j] > LARGE) & (length[j] <= SHORT_LIST)
                     i, j = i[keep], j[keep]
                 if len(i):
                     x, y = np.minimum(a[i], a[j]), np.maximum(a[i], a[j])
@@ -352,6 +370,28 @@ def _candidates(percent: int, first_only: bool):
     return run
 
 
+def _by_parity(percent: int):
+    """Pairs that their longer sketches leave possible."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            total = batch["n_left"].to_numpy() + batch["n_right"].to_numpy()
+            for left, right, both in zip(batch["left"], batch["right"], total):
+                x = np.frombuffer(left.as_buffer(), dtype=np.uint64)
+                y = np.frombuffer(right.as_buffer(), dtype=np.uint64)
+                while len(x) != len(y):  # the longer one folds onto half its bits
+                    if len(x) > len(y):
+                        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                    else:
+                        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+                apart = int(np.bitwise_count(x ^ y).sum())
+                keep.append(apart * (100 + percent) <= both * (100 - percent))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["x", "y"])
+
+    return run
+
+
 def _needed_sets(size: int, needed):
     """The sets whose digest the filter lets through, once per slice."""
 
@@ -402,14 +442,14 @@ class JaccardJoin:
         kind = docs.schema[id_col].dataType.simpleString()
         words8 = ", ".join(f"{s} long" for s in SKETCH)
         signed = self.docs.mapInArrow(
-            _sign(size), f"id {kind}, a long, b long, n long, {words8}, chunk int, counts binary"
+            _sign(size), f"id {kind}, a long, b long, n long, {words8}, parity binary, chunk int, counts binary"
         )
         self.signed = cut(signed, "jaccard-signed")
         self.rows = self.signed.where("chunk IS NULL").select("id", "a", "b", "n")
         self.nodes = cut(
             self.signed.where("chunk IS NULL AND n > 0")
             .groupBy("a", "b")
-            .agg(F.min("id").alias("least_id"), F.max("n").alias("n"), *[F.max(s).alias(s) for s in SKETCH]),
+            .agg(F.min("id").alias("least_id"), F.max("n").alias("n"), *[F.max(s).alias(s) for s in SKETCH], F.max("parity").alias("parity")),
             "jaccard-nodes",
         )
 
@@ -462,13 +502,16 @@ class JaccardJoin:
                 "sig", "a", "label", "side", F.least("side", "other").alias("block"), F.greatest("side", "other").alias("block2")
             )
         sized = placed.join(self.nodes.select("a", "n", *SKETCH), "a")
-        return (
+        pairs = (
             sized.select("sig", "block", "block2", "a", "n", "label", "side", *SKETCH)
             .repartition("sig", "block", "block2")
             .sortWithinPartitions("sig", "block", "block2", "n", "a")
             .mapInArrow(_candidates(self.percent, labels is None), "x long, y long")
             .distinct()
         )
+        left = self.nodes.select(F.col("a").alias("x"), F.col("n").alias("n_left"), F.col("parity").alias("left"))
+        right = self.nodes.select(F.col("a").alias("y"), F.col("n").alias("n_right"), F.col("parity").alias("right"))
+        return pairs.join(left, "x").join(right, "y").mapInArrow(_by_parity(self.percent), "x long, y long")
 
     def sets_of(self, pairs: DataFrame) -> DataFrame:
         """``a, tokens`` of every set in a pair, and of few others."""
