@@ -80,7 +80,11 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every run of non-space bytes, and how many each row has."""
-    full = ~_IS_SPACE[data]
+    return runs(~_IS_SPACE[data], offsets)
+
+
+def runs(full: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every run of marked bytes inside a row, and how many each row has."""
     before = np.zeros(len(full), dtype=bool)
     before[1:] = full[:-1]
     after = np.zeros(len(full), dtype=bool)

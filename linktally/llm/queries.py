@@ -8,6 +8,7 @@ from linktally.llm.jaccard import OP4_SQL, op4_jaccard
 from linktally.llm.merkle import OP10_SQL, op10_merkle_audit
 from linktally.llm.mixing import op2_mixing
 from linktally.llm.ppm import op3_ppm
+from linktally.llm.quality import op6_quality
 from linktally.llm.quotes import op5_quotes
 from linktally.llm.topk import OP7_SQL, op7_topk
 from linktally.llm.toxicity import op8_toxicity
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_ppm": op3_ppm,
     "op4_jaccard": op4_jaccard,
     "op5_quotes": op5_quotes,
+    "op6_quality": op6_quality,
     "op7_topk": op7_topk,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
