@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linktally.llm.common import quoted, text_of, without
 
@@ -218,10 +219,8 @@ def bpe_encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", di
     added = ("n_tokens", "ids_sha256", "decoded_sha256") if digests else ADDED
     kept = without(docs, added)
     given = kept.select(*[F.col(quoted(c)) for c in kept.columns], text_of(text_col).alias("__bpe_text"))
-    types = {"token_ids": "array<int>", "n_tokens": "long"}
-    schema = kept.schema
-    for name in added:
-        schema = schema.add(name, types.get(name, "string"))
+    types = {"token_ids": T.ArrayType(T.IntegerType()), "n_tokens": T.LongType()}
+    schema = T.StructType([*kept.schema.fields, *[T.StructField(n, types.get(n, T.StringType())) for n in added]])
     broadcast = spark.sparkContext.broadcast(Vocabulary(vocabulary_path))
     return given.mapInArrow(_encoded(broadcast, digests), schema)
 
