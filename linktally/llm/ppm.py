@@ -321,7 +321,7 @@ def score_adaptive(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def score_pretrained(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_rest: int = 1, order: int = 4
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_rest: int = 1, order: int = 5
 ) -> DataFrame:
     """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
