@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linktally.llm.common import quoted, text_of, without
+from linktally.llm.common import quoted, reachable, text_of, without
 
 #: The splitting pattern and word ending of the vocabulary file.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -216,6 +216,7 @@ def bpe_encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", di
     The driver reads the vocabulary file and broadcasts it: its size is fixed.
     """
     spark = docs.sparkSession
+    reachable(spark)
     added = ("n_tokens", "ids_sha256", "decoded_sha256") if digests else ADDED
     kept = without(docs, added)
     given = kept.select(*[F.col(quoted(c)) for c in kept.columns], text_of(text_col).alias("__bpe_text"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linktally.session import scratch_path
@@ -19,6 +20,18 @@ SPACES = r"[\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 18
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Needed where it is neither installed nor in the workers' folder.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def text_of(name: str) -> Column:
     """A text column with null as empty."""
     return F.coalesce(F.col(quoted(name)).cast("string"), F.lit(""))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linktally.llm.common import SPACES, cut, quoted, text_of, without
+from linktally.llm.common import SPACES, cut, quoted, reachable, text_of, without
 
 #: Directory bits that one pass over the keys counts.
 BITS_PER_ROUND = 6
@@ -170,7 +170,7 @@ def exact_dedup(
     carry the same flag. Other columns stay, but for any named like an added
     one, which is replaced. An empty table gives an empty table.
     """
-    spark = docs.sparkSession
+    reachable(docs.sparkSession)
     norm = F.regexp_replace(text_of(text_col), SPACES, " ")
     keyed = without(docs, ADDED).withColumn(_NORM, norm).withColumn(_KEY, F.xxhash64(_NORM))
     keys = cut(keyed.select(_KEY).distinct(), "dedup-keys")

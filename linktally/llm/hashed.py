@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linktally.llm.common import quoted, slices, text_of, utf8
+from linktally.llm.common import quoted, reachable, slices, text_of, utf8
 
 #: Buckets of hashed features; a scorer's weights are this many floats.
 BUCKETS = 1 << 18
@@ -107,6 +107,7 @@ def sampled_features(sample: DataFrame, text_col: str, featurizer: Featurizer) -
                 names=["place", "target", "buckets", "weights"],
             )
 
+    reachable(sample.sparkSession)
     given = sample.select("place", F.col("target").cast("double").alias("target"), text_of(text_col).alias("text"))
     table = given.mapInArrow(run, "place long, target double, buckets array<int>, weights array<float>").toArrow()
     table = table.sort_by([("place", "ascending"), ("target", "ascending")])
@@ -120,6 +121,7 @@ def scored(
     docs: DataFrame, text_col: str, featurizer: Featurizer, weights: np.ndarray, bias: float, name: str
 ) -> DataFrame:
     """The documents with a score between 0 and 1 added: the last column."""
+    reachable(docs.sparkSession)
     broadcast = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), float(bias)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

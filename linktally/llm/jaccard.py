@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linktally.llm.common import cut, distinct, lowered, mixed, quoted, slices, span_hashes, text_of, utf8, words
+from linktally.llm.common import cut, distinct, lowered, mixed, quoted, reachable, slices, span_hashes, text_of, utf8, words
 from linktally.llm.components import connected
 
 #: A token is 52 bits of a hash, so that a row number fits above it while sorting.
@@ -437,6 +437,7 @@ class JaccardJoin:
         if not 50 < percent <= 100:
             raise ValueError(f"similarity of {percent} percent: over 50, to 100")
         self.spark = docs.sparkSession
+        reachable(self.spark)
         self.docs = docs.select(F.col(quoted(id_col)).alias("id"), text_of(text_col).alias("text"))
         self.size, self.percent, self.frequent = size, percent, frequent
         kind = docs.schema[id_col].dataType.simpleString()
@@ -455,7 +456,8 @@ class JaccardJoin:
 
     def entries(self) -> DataFrame:
         counters = _counters(self.signed)
-        often = counters > self.frequent + 2 * counters.mean()
+        # other tokens that share a counter add its mean, give or take
+        often = counters > self.frequent + counters.mean() + 4 * math.sqrt(counters.mean())
         broadcast = self.spark.sparkContext.broadcast(np.packbits(often).tobytes())
         posted = self.docs.select("text").mapInArrow(
             _post(self.size, self.percent, broadcast), "sig long, a long, kind byte"
@@ -571,7 +573,7 @@ def jaccard_components(
     text_col: str = "text",
     shingle_words: int = 5,
     percent: int = 80,
-    frequent: int = 256,
+    frequent: int = 64,
 ) -> DataFrame:
     """``id_col, n_shingles, component_id`` of every row.
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linktally.llm.common import crc_rest, cut, lowered, quoted, slices, span_hashes, text_of, utf8, words
+from linktally.llm.common import crc_rest, cut, lowered, quoted, reachable, slices, span_hashes, text_of, utf8, words
 
 #: Symbols: the bytes, the end of the text, and the start, which is only ever a context.
 END, START, SYMBOLS, BITS = 256, 257, 257, 9
@@ -315,6 +315,7 @@ def score_adaptive(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null and empty texts pay for their end alone. Every row is scored by itself.
     """
+    reachable(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(quoted(id_col)).alias("id"), text_of(text_col).alias("text"))
     return given.mapInArrow(_adaptive(order), f"id {kind}, score double").withColumnRenamed("id", id_col)
@@ -341,6 +342,7 @@ def score_pretrained(
     if not 2 <= order <= 6:
         raise ValueError("order: 2 to 6")
     spark = docs.sparkSession
+    reachable(spark)
     split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.files.maxPartitionBytes")
     )

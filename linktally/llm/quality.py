@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linktally.llm.common import cut, lowered, mixed, quoted, runs, slices, span_hashes, text_of, utf8, without, words
+from linktally.llm.common import cut, lowered, mixed, quoted, reachable, runs, slices, span_hashes, text_of, utf8, without, words
 from linktally.llm.hashed import BUCKETS, Adam, Rows, bucketed, sampled_features, scored, sigmoid
 
 LABELLERS = ("symbols", "shouting", "exclamation", "tables", "repetition", "sentences", "word_length", "lines", "endings", "variety")
@@ -188,6 +188,7 @@ def fit_soft(targets: np.ndarray, rows: Rows, epochs: int = 20, batches: int = 2
 
 def with_votes(docs: DataFrame, text_col: str) -> DataFrame:
     """The documents with ``votes``, a letter per labeller: ``g``, ``b`` or ``-``."""
+    reachable(docs.sparkSession)
     letters = np.array(["b", "g", "-"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linktally.llm.common import cut, quoted
+from linktally.llm.common import cut, quoted, reachable
 
 #: Rows of each list that a query walks before its bound is tested first; doubled from then on.
 FIRST_DEPTH = 32
@@ -126,6 +126,7 @@ def top_k(
     candidates all are given; an empty table gives no rows. A score that a long
     cannot hold raises. Extra columns are not read.
     """
+    reachable(vectors.sparkSession)
     clean = cut(
         vectors.where(F.col(quoted(id_col)).isNotNull() & _usable(vector_col))
         .groupBy(F.col(quoted(id_col)).cast("long").alias("vec_id"), is_query.alias("asked"))
