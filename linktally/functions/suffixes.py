@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 EXACT, WILDCARD, EXCEPTION = 1, 2, 4
 
-# The published list has about 10,000 rules; above this bound the table is not broadcast.
-BROADCAST_ROWS = 200_000
+# The published list has about 10,000 rules. The table is broadcast, so more than this raises.
+MOST_RULES = 200_000
 
 # Generic top-level domains and common second-level suffixes.
 GENERIC = """
@@ -24,18 +24,35 @@ house icu international land law london love ltd market men money music network
 party photo photos pizza plus press red rocks run sale school science social solutions stream studio
 style support team theater tips tools top tours town trade tube tv vip watch wine work works wtf xyz zone
 """.split()
+# Second levels that any country may have, and those of single countries.
+ANY_COUNTRY = "ac co com edu gov mil net org".split()
 SECOND_LEVEL = {
-    "ac": "id jp nz th uk za",
-    "co": "id il in jp ke kr nz th uk za",
-    "com": "ar au br cn co mx my pe ph pl sg tr tw ua vn",
-    "edu": "au br cn mx tr",
-    "gov": "au br cn in it uk",
-    "net": "au br cn nz",
-    "org": "au br cn mx nz uk za",
-    "gouv": "fr",
+    "ad": "jp",
+    "asn": "au",
     "asso": "fr",
-    "ne": "jp",
-    "or": "jp kr",
+    "ed": "cr jp",
+    "gen": "in nz tr",
+    "go": "cr id jp ke kr th tz ug",
+    "gob": "ar bo cl ec es gt hn mx pa pe sv ve",
+    "gouv": "fr ci ml sn",
+    "govt": "nz",
+    "gr": "jp",
+    "id": "au",
+    "ind": "br in",
+    "lg": "jp",
+    "ltd": "uk",
+    "me": "ke tz uk",
+    "ne": "jp ke kr ug",
+    "nhs": "uk",
+    "nom": "br co es fr",
+    "or": "at cr id jp ke kr mu th tz ug",
+    "pe": "kr",
+    "plc": "uk",
+    "police": "uk",
+    "re": "kr",
+    "sch": "id uk",
+    "school": "nz za",
+    "web": "id tr ve za",
 }
 HOSTING = ("github.io", "gitlab.io", "blogspot.com", "herokuapp.com", "netlify.app", "vercel.app")
 SPECIAL = ("*.ck", "!www.ck")
@@ -46,12 +63,16 @@ class SuffixRules:
     """Suffix rules ready to join: ``(suffix, flags)`` with one row per suffix.
 
     ``depth`` is the label count of the longest entry, and so the number of
-    lookups a host needs. ``bounded`` says that the row count has been checked.
+    lookups a host needs. The row count has been checked against ``MOST_RULES``.
     """
 
     frame: DataFrame
     depth: int
-    bounded: bool = True
+
+
+def _checked(rows: int) -> None:
+    if rows > MOST_RULES:
+        raise ValueError(f"{rows} suffix rules: at most {MOST_RULES} can be broadcast")
 
 
 def _entry(rule: str) -> tuple[str, int]:
@@ -72,15 +93,20 @@ def rule_flags(rules) -> dict[str, int]:
 
 
 def default_rules() -> list[str]:
-    """A compact rule list. Every two-letter label counts as a country's."""
+    """A compact rule list. Every two-letter label counts as a country's.
+
+    The published list is longer and exact: :func:`read_suffix_rules` takes it.
+    """
     countries = [first + second for first in ascii_lowercase for second in ascii_lowercase]
     seconds = [f"{label}.{tld}" for label, tlds in SECOND_LEVEL.items() for tld in tlds.split()]
-    return [*dict.fromkeys([*GENERIC, *countries, *seconds, *HOSTING, *SPECIAL])]
+    general = [f"{label}.{country}" for country in countries for label in ANY_COUNTRY]
+    return [*dict.fromkeys([*GENERIC, *countries, *general, *seconds, *HOSTING, *SPECIAL])]
 
 
 def suffix_rules(spark: SparkSession, rules=None, extra=()) -> SuffixRules:
     """Rules from a Python list (the built-in one by default) plus ``extra`` ones."""
     flags = rule_flags([*(default_rules() if rules is None else rules), *extra])
+    _checked(len(flags))
     text = " ".join(f"{suffix}:{flag}" for suffix, flag in flags.items())
     frame = (
         spark.range(0, 1, 1, 1)
@@ -91,7 +117,7 @@ def suffix_rules(spark: SparkSession, rules=None, extra=()) -> SuffixRules:
         )
     )
     depth = max((suffix.count(".") + 1 for suffix in flags), default=1)
-    return SuffixRules(frame, depth, bounded=len(flags) <= BROADCAST_ROWS)
+    return SuffixRules(frame, depth)
 
 
 def read_suffix_rules(spark: SparkSession, path: str) -> SuffixRules:
@@ -117,4 +143,5 @@ def read_suffix_rules(spark: SparkSession, path: str) -> SuffixRules:
     ).first()
     if not size["rows"]:
         raise ValueError(f"no suffix rule in {path}")
-    return SuffixRules(frame, size["depth"], bounded=size["rows"] <= BROADCAST_ROWS)
+    _checked(size["rows"])
+    return SuffixRules(frame, size["depth"])

@@ -13,12 +13,15 @@ def attribute_domain(
 ) -> DataFrame:
     """Add the registered domain of ``host``: its longest suffix and one label.
 
-    Each possible suffix length is one lookup in the same small table, so rows
-    are neither multiplied nor shuffled. The table is broadcast when its size
-    has been checked; beyond the bound Spark chooses the join. The result is
-    null for an address, a single label, a bare suffix or an unknown suffix.
+    Each possible suffix length is one lookup in the same small table, whose size
+    was checked when it was made, so rows are neither multiplied nor shuffled.
+    Under no rule the last label is the suffix, as the public list prescribes. One
+    dot at the end of a host is left out. The result is null for an address, a
+    single label or a bare suffix.
     """
     keep = df.columns
+    given, host = host, "_named_host"
+    df = df.withColumn(host, F.regexp_replace(given, r"[.]$", ""))
     dots = F.length(host) - F.length(F.replace(F.col(host), F.lit("."), F.lit("")))
     looked_up = df.withColumn("_labels", dots + 1)
     for size in range(1, rules.depth + 1):
@@ -26,9 +29,7 @@ def attribute_domain(
         entries = rules.frame.select(
             F.col("suffix").alias(f"_suffix{size}"), F.col("flags").alias(f"_flags{size}")
         )
-        if rules.bounded:
-            entries = F.broadcast(entries)
-        looked_up = looked_up.join(entries, candidate == F.col(f"_suffix{size}"), "left")
+        looked_up = looked_up.join(F.broadcast(entries), candidate == F.col(f"_suffix{size}"), "left")
 
     def has(size, flag):
         return F.col(f"_flags{size}").bitwiseAND(flag) != 0
@@ -45,6 +46,9 @@ def attribute_domain(
     for condition, size in found:
         registered = F.when(F.col("_labels") > size, F.substring_index(host, ".", -(size + 1)))
         domain = F.when(condition, registered) if domain is None else domain.when(condition, registered)
+    # the prevailing rule; an address ends in digits or a bracket
+    plain = (F.col("_labels") > 1) & ~F.col(host).rlike(r"(?:^|[.])[0-9]*$|[\[\]:]")
+    domain = domain.when(plain, F.substring_index(host, ".", -2))
     named = looked_up.withColumn("_domain", domain)
     complete = F.when(~F.col("_domain").startswith("."), F.col("_domain"))
     return named.select(*keep, complete.alias(output))

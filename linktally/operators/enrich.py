@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linktally.functions.platforms import CHANNEL, VIDEO, YOUTUBE, Platform, link_channel_id, link_kind, video_id
 from linktally.functions.settle import settle
-from linktally.schemas import METADATA_FIELDS, metadata_type
+from linktally.schemas import METADATA_FIELDS, MONTH_COLUMN_PREFIX, metadata_type
 
 # Columns that classify_links adds.
 LINK_KEYS = ("video_id", "channel_id", "link_kind")
@@ -127,14 +128,30 @@ def attach_metadata(classified: DataFrame, records: DataFrame) -> DataFrame:
     return links.join(_keyed_records(records), ["link_kind", "_key"]).select(*base, "_record.*")
 
 
+# Measures of the link reports, beside those of single months.
+LINK_MEASURES = (
+    "nb_collected_retweets_with_links",
+    "sum_all_tweets_with_link",
+    "nb_accounts_that_shared_link",
+    "nb_collected_original_tweets",
+)
+
+
 def channel_rollup(links: DataFrame) -> DataFrame:
     """Sum every measure over a channel's links and count the links.
 
     A post with two links of one channel counts twice: totals are sums over
-    links. Any number column of the input is a measure.
+    links. Measures are the columns of the link reports and any number column; further
+    columns are left out.
     """
     texts = ("normalized_url", "link_for_scraping")
-    measures = [name for name in links.columns if name not in (*texts, "channel_id")]
+    measures = [
+        field.name
+        for field in links.schema
+        if field.name in LINK_MEASURES
+        or field.name.startswith(MONTH_COLUMN_PREFIX)
+        or isinstance(field.dataType, T.NumericType)
+    ]
     return (
         links.where(F.col("channel_id").isNotNull())
         .groupBy("channel_id")

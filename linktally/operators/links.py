@@ -38,13 +38,8 @@ def clean_posts(posts: DataFrame, null_zero_ids: bool = True, strict_time: bool
 
 
 def spread_scan(scan: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle a scan by key if it has fewer tasks than the session has cores.
-
-    For a small or badly split table that feeds costly row work. A scan with
-    enough tasks is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)
+    """Shuffle a scan by key, for a badly split table that feeds costly row work."""
+    return scan.repartition(*[F.col(key) for key in keys])
 
 
 def cluster_by_month(posts: DataFrame, slices: int | None = None) -> DataFrame:

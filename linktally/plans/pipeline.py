@@ -19,7 +19,6 @@ from linktally.operators.enrich import (
     links_with_channel,
     video_links,
 )
-from linktally.operators.rollup import present_months
 from linktally.plans.reports import domain_month, domains_table, platform_link_month, platform_links_table
 from linktally.plans.shares import shares_from_posts
 from linktally.schemas import DOMAIN_MONTH_SCHEMA, LINK_MONTH_SCHEMA, require_columns
@@ -28,8 +27,10 @@ from linktally.sources.posts import DEFAULT_PATTERN, read_posts
 from linktally.sources.tables import (
     SHARES_ORDER,
     read_by_month,
+    read_parsed_links,
     read_shares,
     refresh_by_month,
+    stored_months,
     write_by_month,
 )
 
@@ -95,11 +96,10 @@ def write_rollups(
         (domain_month(shares), out.domain_month),
         (platform_link_month(shares, platform), out.link_month),
     ):
-        gathered = rollup.hint("rebalance", "month")
         if months is None:
-            write_by_month(gathered, path)
+            write_by_month(rollup, path)
         else:
-            refresh_by_month(gathered, path, months)
+            refresh_by_month(rollup, path, months)
 
 
 def write_links_by_kind(links: DataFrame, path: str, platform: Platform = YOUTUBE) -> DataFrame:
@@ -142,6 +142,8 @@ def run_pipeline(
     out: str,
     pattern: str = DEFAULT_PATTERN,
     shares_path: str | None = None,
+    parsed_links: str | None = None,
+    parsed_pattern: str | None = None,
     video_metadata: DataFrame | None = None,
     platform: Platform = YOUTUBE,
     rules: SuffixRules | None = None,
@@ -153,7 +155,9 @@ def run_pipeline(
 ) -> Outputs:
     """Run everything and return where the results are.
 
-    ``shares_path`` continues from stored shares in place of ``inputs``.
+    In place of ``inputs``, ``shares_path`` continues from stored shares, and
+    ``parsed_links`` from a folder of parsed-link Parquet files of an earlier tool,
+    those whose names match ``parsed_pattern`` if it is given.
     ``refresh_months`` takes only these months from the inputs and replaces
     them in the tables of an earlier run; the exports then cover all months.
     ``codec`` compresses the shares table; ``csv_options`` go to ``read_posts``.
@@ -162,23 +166,31 @@ def run_pipeline(
     a lost executor costs a stage, not the run.
     """
     outputs = Outputs(out)
-    if (inputs is None) == (shares_path is None):
-        raise ValueError("give either inputs or shares_path")
+    if [inputs, shares_path, parsed_links].count(None) != 2:
+        raise ValueError("give either inputs, shares_path or parsed_links")
     if video_metadata is not None:
         require_columns(video_metadata.columns, ("video_id", "channel_id"), "video metadata")
     if shares_path is None:
-        posts = read_posts(spark, inputs, pattern, **csv_options)
-        shares = shares_from_posts(
-            posts, rules, (platform,), null_zero_ids, strict_time, cluster=True, months=refresh_months
-        )
+        if parsed_links is None:
+            posts = read_posts(spark, inputs, pattern, **csv_options)
+            shares = shares_from_posts(
+                posts, rules, (platform,), null_zero_ids, strict_time, cluster=True, months=refresh_months
+            )
+        else:
+            shares = read_parsed_links(spark, parsed_links, strict_time, parsed_pattern, null_zero_ids)
+            if refresh_months is not None:
+                shares = shares.where(F.col("month").isin(*refresh_months) | F.col("month").isNull())
+        gather = parsed_links is not None  # posts were gathered ahead of the link work
         if refresh_months is None:
-            write_by_month(shares, outputs.shares, codec, SHARES_ORDER)
+            write_by_month(shares, outputs.shares, codec, SHARES_ORDER, gather)
         else:
-            refresh_by_month(shares, outputs.shares, refresh_months, codec, SHARES_ORDER)
+            refresh_by_month(
+                shares, outputs.shares, refresh_months, codec, SHARES_ORDER, gather, undated=True
+            )
         shares_path = outputs.shares
     shares = read_shares(spark, shares_path)
     write_rollups(shares, outputs, platform, refresh_months)
-    write_reports(spark, outputs, present_months(shares), video_metadata, platform)
+    write_reports(spark, outputs, stored_months(spark, shares_path), video_metadata, platform)
     return outputs
 
 

@@ -40,14 +40,14 @@ def shares_from_posts(
     slices: int | None = None,
     months: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Shares of raw posts, as one lazy plan; with ``months`` of these only.
+    """Shares of raw posts, as one lazy plan; with ``months`` of these and of no month only.
 
     ``cluster`` shuffles the posts by month once, ahead of the link work: for
     files that do not split, and ahead of a write by month.
     """
     cleaned = clean_posts(posts, null_zero_ids, strict_time)
     if months is not None:
-        cleaned = cleaned.where(F.col("month").isin(*months))
+        cleaned = cleaned.where(F.col("month").isin(*months) | F.col("month").isNull())
     if cluster:
         cleaned = cluster_by_month(cleaned, slices)
     shares = with_url_and_domain(explode_links(cleaned), rules, platforms)

@@ -18,6 +18,7 @@ PARSED_LINK_COLUMNS = (
     "domain",
 )
 
+# The columns of the stored shares.
 SHARES_SCHEMA = T.StructType(
     [
         T.StructField("domain_id", T.StringType()),

@@ -73,24 +73,28 @@ def read_csv_by_name(
     multiline: bool = True,
     check_width: bool = True,
     same_header: bool = False,
+    each_header: bool = False,
 ) -> DataFrame:
     """Columns of CSV files as strings, matched by name in every file.
 
     One read over files whose headers differ would take values by position, so
-    files are grouped by header and read group by group. ``same_header`` says
-    that all files have the first one's header, which saves reading each; Spark
-    still compares names and raises where they differ. ``check_width`` raises on
+    files are grouped by header and read group by group. The files of a folder are
+    taken to have the header of its first one, so there is a header to read per
+    folder; Spark compares the names of every file and raises where they differ.
+    ``each_header`` reads the header of every file instead, for folders of mixed
+    files; ``same_header`` reads one for all files. ``check_width`` raises on
     a row with too few or too many values; without it the parser may skip the
     columns that are not needed. A file without a needed column raises.
     """
-    if same_header:
-        groups = {_header(spark, files[0]): list(files)}
-    else:
-        with ThreadPoolExecutor(HEADER_READS) as pool:
-            headers = list(pool.map(lambda file: _header(spark, file), files))
-        groups: dict[tuple[str, ...], list[str]] = {}
-        for file, header in zip(files, headers):
-            groups.setdefault(header, []).append(file)
+    together: dict[str, list[str]] = {}
+    for file in files:
+        place = "" if same_header else file if each_header else file.rpartition("/")[0]
+        together.setdefault(place, []).append(file)
+    with ThreadPoolExecutor(HEADER_READS) as pool:
+        headers = list(pool.map(lambda members: _header(spark, members[0]), together.values()))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header, members in zip(headers, together.values()):
+        groups.setdefault(header, []).extend(members)
     frames = []
     for header, members in groups.items():
         require_columns(header, columns, members[0])
@@ -111,10 +115,11 @@ def read_posts(
     multiline: bool = True,
     check_width: bool = True,
     same_header: bool = False,
+    each_header: bool = False,
 ) -> DataFrame:
     """Raw posts from CSV files, gzipped or not, with line breaks in quoted values."""
     files = list_files(spark, path, pattern)
-    return read_csv_by_name(spark, files, POST_COLUMNS, multiline, check_width, same_header)
+    return read_csv_by_name(spark, files, POST_COLUMNS, multiline, check_width, same_header, each_header)
 
 
 def write_bronze(posts: DataFrame, path: str, codec: str = "zstd") -> None:

@@ -30,28 +30,81 @@ def _by_month(df: DataFrame, codec: str, order: Sequence[str]) -> DataFrameWrite
     return rows.write.mode("overwrite").option("compression", codec).partitionBy("month")
 
 
-def write_by_month(df: DataFrame, path: str, codec: str = "zstd", order: Sequence[str] = ()) -> None:
+def gather_by_month(df: DataFrame) -> DataFrame:
+    """Bring the rows of a month together, so that a month has few files.
+
+    Adaptive execution splits a large month over tasks and puts small ones
+    together. Without it the hint has no effect, and a plain shuffle takes its place.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", "month")
+    return df.repartition("month")
+
+
+def write_by_month(
+    df: DataFrame, path: str, codec: str = "zstd", order: Sequence[str] = (), gather: bool = True
+) -> None:
     """Write a table partitioned by month, in place of an earlier one.
 
-    ``order`` sorts the rows within each file.
+    ``order`` sorts the rows within each file. ``gather=False`` is for rows that
+    already lie together by month; others would leave a file per task and month.
     """
-    _by_month(df, codec, order).parquet(path)
+    _by_month(gather_by_month(df) if gather else df, codec, order).parquet(path)
 
 
 def refresh_by_month(
-    df: DataFrame, path: str, months: Sequence[str], codec: str = "zstd", order: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    months: Sequence[str],
+    codec: str = "zstd",
+    order: Sequence[str] = (),
+    gather: bool = True,
+    undated: bool = False,
 ) -> None:
     """Replace the given months of a table; files of other months stay as they are.
 
-    ``df`` holds no other months. A dynamic overwrite leaves alone a month
-    without new rows, so the months are emptied first.
+    ``df`` holds these months and rows without one. The new rows are written
+    first, each month in place of its old files, and only then are months dropped
+    that got none, so a run that fails on the way loses nothing. With ``undated``,
+    rows without a month are added to those stored, but for rows stored already:
+    another run over the same input adds none.
     """
     spark = df.sparkSession
-    columns = [field for field in df.schema if field.name != "month"]
-    nothing = spark.createDataFrame([], T.StructType(columns))
-    for month in months:
-        nothing.write.mode("overwrite").parquet(f"{path}/month={month}")
-    _by_month(df, codec, order).option("partitionOverwriteMode", "dynamic").parquet(path)
+    before = {month: _month_files(spark, path, month) for month in months}
+    dated = df.where(F.col("month").isNotNull())
+    rows = gather_by_month(dated) if gather else dated
+    _by_month(rows, codec, order).option("partitionOverwriteMode", "dynamic").parquet(path)
+    if undated:
+        new = df.where(F.col("month").isNull())
+        stored = read_by_month(spark, path, df.schema).where(F.col("month").isNull()).select(*df.columns)
+        _by_month(new.exceptAll(stored), codec, order).mode("append").parquet(path)
+    for month, files in before.items():
+        if files and _month_files(spark, path, month) == files:  # a month with new rows has new files
+            _drop_month(spark, path, month)
+
+
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _month_files(spark: SparkSession, path: str, month: str) -> set[str]:
+    files, place = _folder(spark, f"{path}/month={month}")
+    return {status.getPath().getName() for status in files.listStatus(place)} if files.exists(place) else set()
+
+
+def _drop_month(spark: SparkSession, path: str, month: str) -> None:
+    files, place = _folder(spark, f"{path}/month={month}")
+    files.delete(place, True)
+
+
+def stored_months(spark: SparkSession, path: str) -> list[str]:
+    """The months of a table, in order, from the names of its partitions: no row is read."""
+    files, place = _folder(spark, path)
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    months = [name.removeprefix("month=") for name in names if name.startswith("month=")]
+    return sorted(month for month in months if month != "__HIVE_DEFAULT_PARTITION__")
 
 
 def read_by_month(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -71,20 +124,35 @@ def read_shares(spark: SparkSession, path: str) -> DataFrame:
     return read_by_month(spark, path, SHARES_SCHEMA)
 
 
-def read_parsed_links(spark: SparkSession, path: str, strict_time: bool = False) -> DataFrame:
-    """Shares from parsed-link Parquet files of an earlier tool (any numbers as text)."""
-    links = spark.read.parquet(path)
+def read_parsed_links(
+    spark: SparkSession,
+    path: str,
+    strict_time: bool = False,
+    pattern: str | None = None,
+    null_zero_ids: bool = True,
+) -> DataFrame:
+    """Shares from parsed-link Parquet files of an earlier tool (any numbers as text).
+
+    ``pattern`` picks the files by name where other files lie beside them, such as
+    copies of the raw columns. ``null_zero_ids`` as for raw posts.
+    """
+    reader = spark.read.option("recursiveFileLookup", True)
+    links = (reader.option("pathGlobFilter", pattern) if pattern else reader).parquet(path)
     require_columns(links.columns, PARSED_LINK_COLUMNS, path)
     text = {name: F.col(name).cast("string") for name in PARSED_LINK_COLUMNS}
     time = post_time(text["local_time"], strict_time)
+
+    def identifier(name):
+        return F.nullif(text[name], F.lit("0")) if null_zero_ids else text[name]
+
     named = links.select(
         F.md5(F.col("domain")).alias("domain_id"),
         text["domain"].alias("domain_name"),
         text["normalized_url"].alias("normalized_url"),
         text["link"].alias("link"),
         F.when(~text["retweeted_id"].isin("0", ""), text["retweeted_id"]).alias("retweeted_id"),
-        text["id"].alias("tweet_id"),
-        text["user_id"].alias("user_id"),
+        identifier("id").alias("tweet_id"),
+        identifier("user_id").alias("user_id"),
         time.alias("local_time"),
     )
     return named.withColumn("month", month_of(F.col("local_time")))

@@ -5,11 +5,14 @@ Patterns are repeated here rather than imported, so a slip in one place shows.
 
 from __future__ import annotations
 
-from linktally.functions.suffixes import default_rules, rule_flags
-from suite.queries import ONE_MONTH, PRIVATE_RULES
+from suite.queries import ONE_MONTH
 
 MONTHS = [f"{year}-{month:02d}" for year in range(1995, 2002) for month in range(1, 13)][:80]
 
+# Suffix rules that the hosts of the tables need: 1 a suffix, 2 one label more, 4 an exception.
+RULES = "('com', 1), ('net', 1), ('org', 1), ('be', 1)"
+PRIVATE = "('com', 1), ('net', 1), ('org', 1), ('be', 1), ('example.net', 1), ('example.org', 2), ('spam-farm.example.org', 4)"
+
 LINKS_BY_PAGE = """
 links_by_page AS (
   SELECT page_id,
@@ -35,7 +38,7 @@ raw_posts AS (
   FROM orders
   JOIN links_by_page a ON a.page_id = o_orderkey % (SELECT count(*) FROM pages)
   JOIN links_by_page b ON b.page_id = (o_orderkey * 7 + 3) % (SELECT count(*) FROM pages)),
-posts AS (
+posts AS MATERIALIZED (
   SELECT nullif(id, '0') AS tweet_id,
          TRY_CAST(local_time AS TIMESTAMP) AS local_time,
          nullif(user_id, '0') AS user_id,
@@ -44,16 +47,14 @@ posts AS (
          strftime(TRY_CAST(local_time AS TIMESTAMP), '%Y-%m') AS month
   FROM raw_posts
   WHERE length(links) > 1),
-exploded AS (
+exploded AS MATERIALIZED (
   SELECT * FROM (
     SELECT tweet_id, local_time, user_id, retweeted_id, month, unnest(string_split(links, '|')) AS link FROM posts)
   WHERE link <> '')"""
 
 
-def url_steps(source: str, rules=None, aliases=("youtube.com", "youtu.be", "youtube-nocookie.com")) -> str:
+def url_steps(source: str, values: str = RULES, aliases=("youtube.com", "youtu.be", "youtube-nocookie.com")) -> str:
     """CTEs that end in ``urls(link, normalized_url, domain_name)`` for a source's links."""
-    flags = rule_flags(default_rules() if rules is None else rules)
-    values = ", ".join(f"('{suffix}', {flag})" for suffix, flag in flags.items())
     folded = "domain"
     if aliases:
         names = ", ".join(f"'{alias}'" for alias in aliases)
@@ -84,20 +85,23 @@ u4 AS (
          regexp_replace(host, '^(?:(?:www|m|mobile)[.])+([^.]+[.].+)\z', '\1')
            || path || CASE WHEN query = '' THEN '' ELSE '?' || query END AS normalized_url
   FROM u3 WHERE regexp_matches(host, '^[^/?#\x09-\x0d\x20]+\z')),
-hosts AS (SELECT DISTINCT hostname, string_split(hostname, '.') AS labels FROM u4),
+hosts AS (
+  SELECT hostname, bare, string_split(bare, '.') AS labels
+  FROM (SELECT DISTINCT hostname, regexp_replace(hostname, '[.]\z', '') AS bare FROM u4)),
 tails AS (
-  SELECT hostname, labels, len(labels) AS n, size, array_to_string(labels[len(labels) - size + 1:], '.') AS tail
-  FROM (SELECT hostname, labels, unnest(range(1, len(labels) + 1)) AS size FROM hosts)),
+  SELECT hostname, bare, labels, len(labels) AS n, size, array_to_string(labels[len(labels) - size + 1:], '.') AS tail
+  FROM (SELECT hostname, bare, labels, unnest(range(1, len(labels) + 1)) AS size FROM hosts)),
 found AS (
   SELECT hostname, any_value(labels) AS labels, any_value(n) AS n,
          coalesce(max(CASE WHEN flags & 4 <> 0 THEN size - 1 END),
-                  max(greatest(CASE WHEN flags & 1 <> 0 THEN size ELSE 0 END,
-                               CASE WHEN flags & 2 <> 0 AND n > size THEN size + 1 ELSE 0 END))) AS size
-  FROM tails JOIN suffixes ON suffix = tail GROUP BY hostname),
+                  nullif(max(greatest(CASE WHEN flags & 1 <> 0 THEN size ELSE 0 END,
+                               CASE WHEN flags & 2 <> 0 AND n > size THEN size + 1 ELSE 0 END)), 0),
+                  any_value(CASE WHEN NOT regexp_matches(bare, '(^|[.])[0-9]*\z|[\[\]:]') THEN 1 END)) AS size
+  FROM tails LEFT JOIN suffixes ON suffix = tail GROUP BY hostname),
 registered AS (
   SELECT hostname, array_to_string(labels[n - size:], '.') AS domain
   FROM found WHERE size > 0 AND n > size AND labels[n - size] <> ''),
-urls AS (
+urls AS MATERIALIZED (
   SELECT link, normalized_url, {folded} AS domain_name
   FROM (SELECT DISTINCT link FROM {source}) LEFT JOIN u4 USING (link) LEFT JOIN registered USING (hostname))"""
 
@@ -249,6 +253,21 @@ SELECT o_orderpriority, strftime(o_orderdate, '%Y-%m') AS month, count(DISTINCT
        count(DISTINCT o_orderkey) AS n_orders, count(DISTINCT o_orderstatus) AS n_statuses, min(o_orderstatus) AS first_status
 FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2"""
 
+# The domain that each host of ``suffix_links`` belongs to, written out.
+SUFFIX_DOMAINS = """
+SELECT page_id, CASE page_id % 13
+  WHEN 0 THEN 'site' || n || '.com' WHEN 1 THEN 'site' || n || '.co.uk' WHEN 2 THEN 'site' || n || '.bar'
+  WHEN 3 THEN 'foo' || n || '.google' WHEN 4 THEN 'site' || n || '.com.hk' WHEN 5 THEN 'b' || n || '.go.jp'
+  WHEN 6 THEN 'user' || n || '.github.io' WHEN 7 THEN 'example' || n || '.bzh' WHEN 9 THEN 'site' || n || '.рф'
+  WHEN 10 THEN 'shop' || n || '.foo.ck' WHEN 11 THEN 'www.ck' WHEN 12 THEN 'site' || n || '.org' END AS domain_name
+FROM (SELECT page_id, page_id % 40 AS n FROM pages)"""
+# The same under the rules of the file: bar and *.hk, but neither com.hk nor github.io.
+FILE_DOMAINS = SUFFIX_DOMAINS.replace("WHEN 1 THEN 'site' || n || '.co.uk'", "WHEN 1 THEN 'co.uk'").replace("WHEN 5 THEN 'b' || n || '.go.jp'", "WHEN 5 THEN 'go.jp'").replace(
+    "WHEN 6 THEN 'user' || n || '.github.io'", "WHEN 6 THEN 'github.io'"
+).replace("WHEN 10 THEN 'shop' || n || '.foo.ck' WHEN 11 THEN 'www.ck'", "WHEN 10 THEN 'foo.ck' WHEN 11 THEN 'www.ck'")
+REJECTED = f"""{SHARES} SELECT count(*) AS nb_shares, count(*) - count(month) AS nb_without_time,
+count(*) - count(normalized_url) AS nb_without_url, count(*) - count(domain_name) AS nb_without_domain FROM shares"""
+
 ORACLE_SQL: dict[str, str] = {
     "links_exploded": f"WITH {POSTS} SELECT tweet_id, user_id, link FROM exploded",
     "zero_token_null": f"WITH {POSTS} SELECT tweet_id, user_id, retweeted_id FROM posts",
@@ -258,7 +277,7 @@ ORACLE_SQL: dict[str, str] = {
     "url_domain": f"""WITH page_list AS (SELECT page_id, url AS link FROM pages), {url_steps('page_list', aliases=())}
 SELECT page_id, domain_name FROM page_list JOIN urls USING (link)""",
     "url_domain_private": f"""WITH page_list AS (SELECT page_id, url AS link FROM pages),
-{url_steps('page_list', [*default_rules(), *PRIVATE_RULES])}
+{url_steps('page_list', PRIVATE)}
 SELECT page_id, domain_name FROM page_list JOIN urls USING (link)""",
     "domain_alias": f"{PAGE_URLS} SELECT page_id, domain_name FROM links_by_page JOIN urls USING (link)",
     "domain_key": f"{PAGE_URLS} SELECT page_id, md5(domain_name) AS domain_id FROM links_by_page JOIN urls USING (link)",
@@ -304,8 +323,7 @@ FROM classified c JOIN channel_records r USING (channel_id) WHERE link_kind = 'c
     + _channels([]),
     "duplicate_keys": f"""{SHARES} SELECT tweet_id, domain_name, count(*) AS nb_rows FROM shares
 GROUP BY tweet_id, domain_name HAVING count(*) > 1""",
-    "rejected_rows": f"""{SHARES} SELECT count(*) AS nb_shares, count(*) - count(month) AS nb_without_time,
-count(*) - count(normalized_url) AS nb_without_url, count(*) - count(domain_name) AS nb_without_domain FROM shares""",
+    "rejected_rows": REJECTED,
     "nameless_channel_links": f"""{PLATFORM_PAGES}
 SELECT count(*) FILTER (WHERE link_kind = 'channel' AND channel_id IS NULL) AS nb_channel_links_without_id FROM classified""",
     "csv_roundtrip": DOMAINS_TOTAL_SQL,
@@ -316,4 +334,16 @@ SELECT count(*) FILTER (WHERE link_kind = 'channel' AND channel_id IS NULL) AS n
     "month_refresh": DOMAIN_MONTH_SQL,
     "pipeline_channels": CHANNELS_SQL,
     "resume": DOMAIN_MONTH + _domains(MONTH_SUMS),
+    "url_domain_suffixes": SUFFIX_DOMAINS,
+    "suffix_file": FILE_DOMAINS,
+    "pipeline_refresh": REJECTED,
+    "parsed_links_job": DOMAIN_MONTH + _domains(MONTH_SUMS),
+    "stored_months": f"{SHARES} SELECT DISTINCT month FROM shares WHERE month IS NOT NULL",
+    "links_by_kind": f"{_platform_links()} SELECT * FROM classified",
+    "export_domains_order": f"""{DOMAIN_MONTH}, t AS ({_domains()})
+SELECT domain_id, row_number() OVER (ORDER BY sum_all_tweets_with_domain DESC, domain_id) AS place FROM t""",
+    "export_links_order": f"""{LINK_MONTH}, t AS ({_links()})
+SELECT normalized_url, row_number() OVER (ORDER BY sum_all_tweets_with_link DESC, normalized_url) AS place FROM t""",
+    "export_channels_order": f"""{_platform_links()}, t AS ({_channels([])})
+SELECT channel_id, row_number() OVER (ORDER BY sum_all_tweets_with_link DESC, channel_id) AS place FROM t""",
 }

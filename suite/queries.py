@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linktally.functions.suffixes import suffix_rules
+from linktally.functions.suffixes import read_suffix_rules, suffix_rules
 from linktally.functions.times import month_of
 from linktally.operators.checks import duplicate_keys, nameless_channels, rejected_rows
 from linktally.operators.enrich import (
@@ -22,7 +22,7 @@ from linktally.operators.enrich import (
 )
 from linktally.operators.links import clean_posts, explode_links
 from linktally.operators.rollup import RollupSpec, merge_months, monthly_rollup, present_months
-from linktally.plans.pipeline import Outputs, run_pipeline, write_rollups
+from linktally.plans.pipeline import Outputs, run_pipeline, write_links_by_kind, write_rollups
 from linktally.plans.reports import (
     domain_month,
     domains_table,
@@ -39,6 +39,7 @@ from linktally.sources.tables import (
     read_metadata,
     read_parsed_links,
     read_shares,
+    stored_months,
     write_by_month,
 )
 from suite.inputs import (
@@ -295,7 +296,7 @@ def month_refresh(spark, folder):
 
 
 def _exported(spark, path) -> DataFrame:
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
 def _measures_as_numbers(df: DataFrame, texts) -> DataFrame:
@@ -322,6 +323,93 @@ def resume(spark, folder):
     return _measures_as_numbers(_exported(spark, out.domains), ("domain_id", "domain_name"))
 
 
+def _suffix_hosts(spark, folder) -> DataFrame:
+    """Links under many kinds of suffixes, made from the page's id."""
+    number = (F.col("page_id") % 40).cast("string")
+    shapes = [
+        ("www.site", ".com"), ("a.site", ".co.uk"), ("site", ".bar"), ("x.foo", ".google"), ("site", ".com.hk"),
+        ("a.b", ".go.jp"), ("user", ".github.io"), ("a.example", ".bzh"), ("10.0.0.", ""), ("a.site", ".рф"),
+        ("x.shop", ".foo.ck"), ("x", ".www.ck"), ("site", ".org."),
+    ]
+    host = F.lit(None)
+    for rest, (before, after) in enumerate(shapes):
+        host = F.when(F.col("page_id") % len(shapes) == rest, F.concat(F.lit(before), number, F.lit(after))).otherwise(host)
+    return table(spark, folder, "pages").select("page_id", F.concat(F.lit("https://"), host, F.lit("/p")).alias("link"))
+
+
+def url_domain_suffixes(spark, folder):
+    return with_url_and_domain(_suffix_hosts(spark, folder)).select("page_id", "domain_name")
+
+
+def suffix_file(spark, folder):
+    """Domains by the rules of a file."""
+    path = scratch_path(spark, "suffixes")
+    lines = ["// rules", "com", "bar", "hk", "*.hk", "ck", "!www.ck", "org // more"]
+    spark.createDataFrame([(line,) for line in lines], "value string").write.text(path)
+    rules = read_suffix_rules(spark, path)
+    return with_url_and_domain(_suffix_hosts(spark, folder), rules).select("page_id", "domain_name")
+
+
+def pipeline_refresh(spark, folder):
+    """The whole job, then two months done again, with posts of no time among them."""
+    path = scratch_path(spark, "job")
+    posts = raw_posts(spark, folder)
+    again = F.substring("local_time", 1, 7).isin(*REFRESHED) | (F.col("local_time") == "no time")
+    write_csv(posts, f"{path}/all", compression="gzip")
+    write_csv(posts.where(again), f"{path}/again", compression="gzip")
+    out = run_pipeline(spark, f"{path}/all", f"{path}/out")
+    run_pipeline(spark, f"{path}/again", f"{path}/out", refresh_months=REFRESHED)
+    return rejected_rows(read_shares(spark, out.shares))
+
+
+def parsed_links_job(spark, folder):
+    """The job continued from an earlier tool's folder, which holds its raw columns too."""
+    path = scratch_path(spark, "parsed")
+    renamed = _shares(spark, folder).withColumnsRenamed({"tweet_id": "id", "domain_name": "domain"})
+    text_time = F.coalesce(F.col("local_time").cast("string"), F.lit("no time"))
+    parsed = renamed.withColumn("local_time", text_time).select(*PARSED_LINK_COLUMNS)
+    parsed.write.option("compression", "gzip").parquet(f"{path}/links")
+    raw_posts(spark, folder).write.option("compression", "snappy").parquet(f"{path}/raw")
+    out = run_pipeline(spark, None, f"{path}/out", parsed_links=path, parsed_pattern="*.gz.parquet")
+    return _measures_as_numbers(_exported(spark, out.domains), ("domain_id", "domain_name"))
+
+
+def stored_months_query(spark, folder):
+    path = scratch_path(spark, "shares")
+    write_by_month(_shares(spark, folder), path)
+    return spark.createDataFrame([(month,) for month in stored_months(spark, path)], "month string")
+
+
+def links_by_kind(spark, folder):
+    """Classified links stored by kind and read back."""
+    links = platform_links_table(platform_link_month(_shares(spark, folder)), [])
+    return write_links_by_kind(links, scratch_path(spark, "kinds"))
+
+
+def _export_order(report: DataFrame, measure: str, key: str) -> DataFrame:
+    """Each key's place in the files of an export, read in order of their names."""
+    path = scratch_path(report.sparkSession, "order")
+    write_csv(ranked(report, measure, key), path)
+    rows = _exported(report.sparkSession, path).select(
+        key, F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")
+    )
+    return rows.select(key, F.row_number().over(Window.orderBy("file", "row")).cast("bigint").alias("place"))
+
+
+def export_domains_order(spark, folder):
+    return _export_order(domains_total(spark, folder), "sum_all_tweets_with_domain", "domain_id")
+
+
+def export_links_order(spark, folder):
+    links = platform_links_table(platform_link_month(_shares(spark, folder)), [])
+    return _export_order(links, "sum_all_tweets_with_link", "normalized_url")
+
+
+def export_channels_order(spark, folder):
+    rolled = channel_rollup(links_with_channel_query(spark, folder))
+    return _export_order(rolled, "sum_all_tweets_with_link", "channel_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "links_exploded": links_exploded,
     "zero_token_null": zero_token_null,
@@ -363,4 +451,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_refresh": month_refresh,
     "pipeline_channels": pipeline_channels,
     "resume": resume,
+    "url_domain_suffixes": url_domain_suffixes,
+    "suffix_file": suffix_file,
+    "pipeline_refresh": pipeline_refresh,
+    "parsed_links_job": parsed_links_job,
+    "stored_months": stored_months_query,
+    "links_by_kind": links_by_kind,
+    "export_domains_order": export_domains_order,
+    "export_links_order": export_links_order,
+    "export_channels_order": export_channels_order,
 }

@@ -4,14 +4,19 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from linktally.operators.checks import rejected_rows
 from linktally.plans.pipeline import check_outputs, run_pipeline
 from linktally.schemas import MONTH_COLUMN_PREFIX
 from linktally.sources.exports import write_csv
 from linktally.sources.tables import (
+    read_by_month,
     read_metadata,
     read_metadata_records,
     read_parsed_links,
     read_shares,
+    refresh_by_month,
+    stored_months,
+    write_by_month,
 )
 from test_posts import HEADER, write
 
@@ -135,6 +140,42 @@ def test_month_refresh(spark, tmp_path):
     assert set(rows_of(spark, out.domains, "domain_name")) == {"a.com", "youtube.com", "b.org"}
 
 
+def test_refresh_keeps_rows_without_time(spark, tmp_path):
+    write(tmp_path / "posts/a.csv.gz", f"{HEADER}\n{A}{BAD}")
+    out = run_pipeline(spark, str(tmp_path / "posts"), str(tmp_path / "out"))
+    write(tmp_path / "new/a.csv.gz", f"{HEADER}\n8,2022-02-07,9,0,https://b.org\n9,never,9,0,https://b.org\n")
+    for _ in range(2):
+        run_pipeline(spark, str(tmp_path / "new"), out.root, refresh_months=["2022-02"])
+        found = rejected_rows(read_shares(spark, out.shares)).first()
+        assert found["nb_without_time"] == 2 and stored_months(spark, out.shares) == ["2022-01", "2022-02"]
+
+
+def test_failed_refresh_leaves_the_old_month(spark, tmp_path):
+    path = str(tmp_path / "table")
+    old = spark.createDataFrame([(1, "2022-01"), (2, "2022-02")], "v int, month string")
+    write_by_month(old, path)
+    broken = spark.range(5).select(
+        F.when(F.col("id") == 4, F.raise_error("half way").cast("int")).otherwise(F.col("id").cast("int")).alias("v"),
+        F.lit("2022-01").alias("month"),
+    )
+    with pytest.raises(Exception, match="half way"):
+        refresh_by_month(broken, path, ["2022-01", "2022-02"])
+    assert sorted(map(tuple, read_by_month(spark, path, old.schema).collect())) == [(1, "2022-01"), (2, "2022-02")]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_few_files_per_month(spark, tmp_path, adaptive):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        rows = spark.range(0, 600, numPartitions=20).select("id", F.concat(F.lit("2022-0"), F.col("id") % 6 + 1).alias("month"))
+        write_by_month(rows, str(tmp_path / "t"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    files = [name for name in files_below(str(tmp_path / "t")) if name.endswith(".parquet")]
+    assert len(files) <= 12
+
+
 def test_no_rows(spark, tmp_path):
     write(tmp_path / "posts/a.csv.gz", f"{HEADER}\n")
     out = run_pipeline(spark, str(tmp_path / "posts"), str(tmp_path / "out"))

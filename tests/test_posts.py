@@ -62,7 +62,9 @@ def test_same_header_is_checked(spark, tmp_path):
     write(tmp_path / "b.csv", f"{HEADER}\n2,t,u,0,l\n")
     assert read_posts(spark, str(tmp_path), "*.csv", same_header=True).count() == 2
     write(tmp_path / "c.csv", "links,retweeted_id,user_id,local_time,id\nl,0,u,t,3\n")
-    assert read_posts(spark, str(tmp_path), "*.csv").where("links = 'l'").count() == 3
+    assert read_posts(spark, str(tmp_path), "*.csv", each_header=True).where("links = 'l'").count() == 3
+    with pytest.raises(Exception, match="header"):
+        read_posts(spark, str(tmp_path), "*.csv").collect()
     with pytest.raises(Exception, match="header"):
         read_posts(spark, str(tmp_path), "*.csv", same_header=True).collect()
 
@@ -71,7 +73,7 @@ def test_missing_column_raises(spark, tmp_path):
     write(tmp_path / "a.csv", f"{HEADER}\n1,t,u,0,l\n")
     write(tmp_path / "b.csv", "id,local_time,user_id,retweeted_id\n1,t,u,0\n")
     with pytest.raises(ValueError, match="links"):
-        read_posts(spark, str(tmp_path), "*.csv")
+        read_posts(spark, str(tmp_path), "*.csv", each_header=True)
 
 
 @pytest.mark.parametrize("row", ["2,t,u,0", "2,t,u,0,l,more"])

@@ -52,8 +52,12 @@ def test_wildcards_and_exceptions(spark):
         "y.deep.x.com": None,
         "w.y.deep.x.com": "w.y.deep.x.com",
         "deep.x.com": "x.com",
-        "unknown.zzz": None,
-        "trailing.com.": None,
+        "unknown.zzz": "unknown.zzz",
+        "trailing.com.": "trailing.com",
+        "a.trailing.com..": None,
+        "10.0.0.1": None,
+        "x.foo.google": "foo.google",
+        "zzz": None,
         ".com": None,
     }
     df = spark.createDataFrame([(host,) for host in hosts], "host string")
@@ -68,19 +72,25 @@ def test_suffix_file(spark, tmp_path):
     assert {row["suffix"]: row["flags"] for row in rules.frame.collect()} == rule_flags(
         ["com", "co.uk", "uk", "*.ck", "!www.ck", "ck"]
     )
-    assert rules.depth == 2 and rules.bounded
+    assert rules.depth == 2
     assert parsed(spark, ["http://a.b.co.uk/"], rules)["http://a.b.co.uk/"] == ("a.b.co.uk", "b.co.uk")
     (tmp_path / "empty.dat").write_text("// nothing\n", encoding="utf8")
     with pytest.raises(ValueError):
         read_suffix_rules(spark, str(tmp_path / "empty.dat"))
 
 
-def test_unbounded_table_gives_the_same(spark):
-    from dataclasses import replace
+def test_too_many_rules_raise(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("linktally.functions.suffixes.MOST_RULES", 1)
+    (tmp_path / "two.dat").write_text("com\norg\n", encoding="utf8")
+    for build in (lambda: suffix_rules(spark, ["com", "org"]), lambda: read_suffix_rules(spark, str(tmp_path / "two.dat"))):
+        with pytest.raises(ValueError, match="2 suffix rules"):
+            build()
 
-    rules = suffix_rules(spark, SUFFIXES)
-    links = [case[0] for case in CASES]
-    assert parsed(spark, links, replace(rules, bounded=False)) == parsed(spark, links, rules)
+
+@pytest.mark.parametrize("host, domain", [("example.bar", "example.bar"), ("a.x.com.hk", "x.com.hk"), ("a.b.go.jp", "b.go.jp")])
+def test_default_rules(spark, host, domain):
+    df = spark.createDataFrame([(host,)], "host string")
+    assert attribute_domain(df, suffix_rules(spark)).first()["domain_name"] == domain
 
 
 def test_default_rules_are_unique():
