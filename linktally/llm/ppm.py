@@ -36,7 +36,7 @@ END, START, SYMBOLS, BITS = 256, 257, 257, 9
 #: Keys of words have this bit, keys of contexts do not.
 WORD = np.int64(-1 << 63)
 #: Bytes of text dealt to one bucket.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 
 
 class Trie:
@@ -322,7 +322,7 @@ def score_adaptive(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def score_pretrained(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_rest: int = 1, order: int = 5
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_rest: int = 1, order: int = 4
 ) -> DataFrame:
     """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
