@@ -46,9 +46,8 @@ MOST_PAIRED = 64
 BLOCK = 4096
 #: Pairs compared at once.
 PAIRS = 1 << 18
-#: Of sets too large for 512 bits, lists of so many members give all pairs at once
-#: to the larger sketches, not one for each member.
-LARGE, SHORT_LIST = 1024, 64
+#: The first round looks into one in so many of the lists under pairs of tokens.
+FIRST_LISTS = 16
 
 SKETCH = [f"s{i}" for i in range(8)]
 _MASK = np.uint64((1 << TOKEN_BITS) - 1)
@@ -339,7 +338,6 @@ def _candidates(percent: int, first_only: bool):
             sizes = np.diff(np.concatenate([starts, [len(a)]]))
             place = np.arange(len(a)) - np.repeat(starts, sizes)
             begin = np.arange(len(a)) - place
-            length = np.repeat(sizes, sizes)
             crossed = columns["block"] != columns["block2"]
             work = np.concatenate([[0], np.cumsum(place)])
             at = 0
@@ -360,10 +358,14 @@ def _candidates(percent: int, first_only: bool):
                     keep = np.zeros(len(i), dtype=bool)
                     keep[np.unique(j, return_index=True)[1]] = True
                     keep[np.unique(i, return_index=True)[1]] = True
-                    keep |= (n[j] > LARGE) & (length[j] <= SHORT_LIST)
                     i, j = i[keep], j[keep]
                 if len(i):
                     x, y = np.minimum(a[i], a[j]), np.maximum(a[i], a[j])
+                    order = np.lexsort((y, x))
+                    x, y = x[order], y[order]
+                    fresh = np.ones(len(x), dtype=bool)
+                    fresh[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+                    x, y = x[fresh], y[fresh]
                     yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
                 at = to
 
@@ -475,6 +477,8 @@ class JaccardJoin:
                 "label", F.coalesce("label", "a")
             )
         else:
+            # this round need not see all lists: what it misses, the next one finds
+            member = member.where((F.col("kind") != 1) | (F.pmod("sig", F.lit(FIRST_LISTS)) == 0))
             member = member.withColumn("label", F.col("a"))
         lists = (
             member.groupBy("sig", (F.col("kind") > 1).alias("single"))
@@ -550,12 +554,12 @@ class JaccardJoin:
         """``node, label`` of every set that has a link."""
         entries = self.entries()
         possible = cut(self.candidates(entries, None), "jaccard-possible")
-        sets = self.sets_of(possible)
-        first = possible.groupBy("y").agg(F.min("x").alias("x")).select("x", "y")
+        first = cut(possible.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), "jaccard-first")
+        sets = self.sets_of(first)
         links = cut(self.verified(first, sets), "jaccard-links")
         labels = connected(links)
         more = cut(self.candidates(entries, labels).join(first, ["x", "y"], "left_anti"), "jaccard-possible")
-        # sets of lists in several blocks may meet a partner only now
+        # sets that had no partner in the first round
         ends = more.select(F.explode(F.array("x", "y")).alias("x")).distinct()
         absent = ends.join(sets.select(F.col("a").alias("x")), "x", "left_anti").withColumn("y", F.col("x"))
         if not absent.isEmpty():
