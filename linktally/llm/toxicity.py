@@ -23,7 +23,7 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 #: Words added to a text's length, and the largest density.
 DAMPING, MOST_DENSE = 20, 4.0
 #: Bounds of the sample that the classifier is fitted on.
-POSITIVES, UNLABELLED = 2_000, 8_000
+POSITIVES, UNLABELLED = 1_500, 5_000
 #: Buckets that get a weight, at most.
 SELECTED = 100
 
