@@ -8,9 +8,10 @@ each rare token of its prefix, and under each pair of frequent tokens of its
 extended prefix. Which class a token is in is told by a fixed array of counters
 over the tokens of all documents; a wrong class costs time, never a link.
 
-Members of an index list are compared by 512-bit parity sketches: the number of
-differing bits never exceeds the number of tokens in only one of two sets, so no
-similar pair is lost. What survives is compared by sketches of about a bit per
+Members of an index list are compared by sketches of 512 bits: the parity of the
+tokens in 512 cells, for large sets their number in 64. The differing bits, or the
+differences of the numbers, never add up to more than the tokens in only one of two
+sets, so no similar pair is lost. What survives is compared by sketches of about a bit per
 token, and what survives that is verified on the sets themselves, in two rounds: first each set with one partner; then, over the components found so far,
 every surviving pair that lies in different components. So the copies of a large
 group are not all paired, and no link between components is missed.
@@ -46,6 +47,8 @@ MOST_PAIRED = 64
 BLOCK = 4096
 #: Pairs compared at once.
 PAIRS = 1 << 18
+#: Sets of more tokens are sketched by numbers: parities of so many tell nothing.
+LARGE = 1024
 #: The first round looks into one in so many of the lists under pairs of tokens.
 FIRST_LISTS = 16
 
@@ -93,10 +96,30 @@ def digests(tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def sketches(rows: np.ndarray, tokens: np.ndarray, count: int) -> np.ndarray:
-    """Parity of the tokens that fall on each of 512 bits, as eight 64-bit words."""
+    """A sketch of each row as eight 64-bit words.
+
+    Parity of the tokens that fall on each of 512 bits; of sets over ``LARGE`` tokens,
+    how many fall on each of 64 bytes, modulo 256.
+    """
     bit = (mixed(tokens + np.uint64(0xABCDEF)) >> np.uint64(55)).astype(np.int64)
     parity = (np.bincount(rows * 512 + bit, minlength=count * 512) & 1).astype(np.uint8)
-    return np.packbits(parity.reshape(count, 512), axis=1, bitorder="little").view(np.int64)
+    out = np.packbits(parity.reshape(count, 512), axis=1, bitorder="little")
+    large = np.bincount(rows, minlength=count) > LARGE
+    if large.any():
+        cells = np.bincount(rows * 64 + (bit >> 3), minlength=count * 64).reshape(count, 64)
+        out[large] = (cells[large] & 255).astype(np.uint8)
+    return out.view(np.int64)
+
+
+def sketch_distance(x: np.ndarray, y: np.ndarray, n_x: np.ndarray, n_y: np.ndarray) -> np.ndarray:
+    """At most the number of tokens in only one of two sets; 0 if their sketches differ in kind."""
+    apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    apart[(n_x > LARGE) != (n_y > LARGE)] = 0
+    large = np.flatnonzero((n_x > LARGE) & (n_y > LARGE))
+    if len(large):
+        step = x[large].view(np.uint8) - y[large].view(np.uint8)
+        apart[large] = np.minimum(step, -step).sum(axis=1, dtype=np.int64)
+    return apart
 
 
 def long_sketches(tokens: np.ndarray, ends: np.ndarray) -> list[bytes]:
@@ -351,7 +374,7 @@ def _candidates(percent: int, first_only: bool):
                 fit &= label[i] != label[j]
                 fit &= ~crossed[j] | (side[i] != side[j])
                 i, j = i[fit], j[fit]
-                apart = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1, dtype=np.int64)
+                apart = sketch_distance(sketch[i], sketch[j], n[i], n[j])
                 fit = apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
                 i, j = i[fit], j[fit]
                 if first_only and len(i):

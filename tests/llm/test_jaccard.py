@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 import linktally.llm.jaccard as jaccard
@@ -90,6 +91,20 @@ def test_sets_with_many_frequent_tokens(spark):
     assert got(jaccard_components(df, shingle_words=3, percent=90, frequent=2)) == brute(rows, 3, 90)
 
 
+@pytest.mark.parametrize("size", [40, 900, 1023, 1500, 20_000])
+def test_sketches_never_exceed_the_difference(size):
+    random = np.random.default_rng(size)
+    pool = random.integers(0, 1 << 52, 3 * size, dtype=np.uint64)
+    for other in (0, 1, size // 20, size // 4, size):
+        x, y = pool[:size], pool[other : size + other + other // 9]
+        n = [len(np.unique(x)), len(np.unique(y))]
+        both = [jaccard.sketches(np.zeros(len(s), np.int64), s, 1).view(np.uint64) for s in (x, y)]
+        apart = jaccard.sketch_distance(*both, np.array(n[:1]), np.array(n[1:]))[0]
+        assert apart <= len(np.setxor1d(x, y))
+        if other == size and size < 5_000 and (n[0] > jaccard.LARGE) == (n[1] > jaccard.LARGE):
+            assert apart * 190 > sum(n) * 10  # strangers are told apart at 0.9
+
+
 def test_empty_table_and_bad_threshold(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert jaccard_components(df).collect() == []
