@@ -1,8 +1,9 @@
 """From documents to token ids: toxicity, copies, near copies, mixture, tokens.
 
 Every stage takes what its predecessor kept and returns the columns of
-``documents``; the last one returns tokens. Each is written as Parquet and read
-again before the next, so that a lost executor never costs more than a stage.
+``documents``; the last one returns tokens and each text's place in the mixed
+stream. Each is written as Parquet and read again before the next, so that a lost
+executor never costs more than a stage.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linktally.llm.bpe import bpe_encode
-from linktally.llm.common import cut, quoted
+from linktally.llm.common import cut, numbered, quoted
 from linktally.llm.exact_dedup import exact_dedup
 from linktally.llm.jaccard import jaccard_components
 from linktally.llm.mixing import mix_sources
@@ -54,9 +55,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and the text that they decode to."""
-    encoded = bpe_encode(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return encoded.select("doc_id", "lang", "source", "n_tokens", "token_ids", "decoded")
+    """Token ids of every text, the text that they decode to, and ``position`` in the mixed stream.
+
+    The position counts from 0 over the files of the stage before, in order of their
+    names: a reader sorts by it, whatever way the rows were read here.
+    """
+    placed = numbered(docs.select("doc_id", "lang", "source", "text"), "position")
+    encoded = bpe_encode(placed, public_tokenizers.path("word_bpe_49k.json"))
+    return encoded.select("position", "doc_id", "lang", "source", "n_tokens", "token_ids", "decoded")
 
 
 STAGES = [

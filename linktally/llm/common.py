@@ -8,7 +8,8 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linktally.session import scratch_path
@@ -54,6 +55,36 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """The rows with their number in the table's files added, files in order of their paths.
+
+    The number follows from the files alone: it is the same whenever they are read.
+    What does not come straight from Parquet files is written first. Only the row
+    counts of files, not rows, are put in one order.
+    """
+
+    def placed(table: DataFrame) -> DataFrame:
+        return table.select(
+            *[F.col(quoted(c)) for c in table.columns],
+            F.col("_metadata.file_path").alias("__file_path"),
+            F.col("_metadata.row_index").alias("__file_row"),
+        )
+
+    try:
+        rows = placed(df)
+    except AnalysisException:
+        rows = placed(cut(df, "numbered"))
+    before = Window.orderBy("__file_path").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = (
+        rows.groupBy("__file_path")
+        .count()
+        .select("__file_path", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__file_first"))
+    )
+    return rows.join(F.broadcast(firsts), "__file_path").select(
+        *[F.col(quoted(c)) for c in df.columns], (F.col("__file_first") + F.col("__file_row")).alias(name)
+    )
+
+
 def crc_rest(name: str, divisor: int = 5) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
     return (F.crc32(F.coalesce(F.col(quoted(name)).cast("string"), F.lit(""))) % divisor).cast("int")

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from linktally.llm.common import cut
+from linktally.llm.mixing import mix_sources
 from linktally.llm.toxicity import score_toxicity
+from linktally.session import scratch_path
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -63,3 +65,17 @@ def test_the_run_drops_toxic_texts_and_copies_only(spark):
     texts = left.select("text").distinct()
     # a clean text goes only as a copy or near copy: most of them stay
     assert clean.join(texts, "text", "left_semi").count() >= 0.85 * clean.count()
+
+
+def test_the_run_gives_positions_in_the_mixed_order(spark, monkeypatch):
+    """Rows sorted by position interleave the sources as the mixing stage decided."""
+    random.seed(9)
+    rows = [(i, f"text number {i} " + "word " * random.randrange(300), "en", f"src{min(i % 7, 2)}", i) for i in range(2000)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[3:])
+    path = scratch_path(spark, "mixed")
+    docs.write.parquet(f"{path}/documents.parquet")
+    out = corpus_pipeline.run(spark, path).select("position", "doc_id").orderBy("position").collect()
+    mixed = mix_sources(docs, temper=corpus_pipeline.TEMPER).orderBy("mix_slot", "mix_place").collect()
+    assert [r["position"] for r in out] == list(range(2000))
+    assert [r["doc_id"] for r in out] == [r["doc_id"] for r in mixed]
