@@ -5,17 +5,21 @@ training part, labelled or not, is unlabelled. With the class prior ``p`` the
 risk of calling all unlabelled text clean counts the toxic share in it twice, so
 ``p`` times the positives' risk of being called clean is taken off, and where
 that would make the estimate negative the step goes the other way. The model is
-linear over hashed beginnings of words, fitted in numpy on a bounded sample and
-applied to every text inside tasks.
+linear over hashed beginnings of words. Counts over the whole training part decide
+which of them get a weight: all whose share differs surely between the two parts.
+It is fitted in numpy on a bounded sample and applied to every text inside tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linktally.llm.common import crc_rest, lowered, mixed, quoted, span_hashes, without, words
+from linktally.llm.common import crc_rest, lowered, mixed, quoted, reachable, slices, span_hashes, text_of, utf8, without, words
 from linktally.llm.hashed import BUCKETS, Adam, Rows, bucketed, sampled_features, scored, sigmoid
 
 #: Lengths in bytes of the word beginnings that are features, next to whole words.
@@ -24,8 +28,10 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 DAMPING, MOST_DENSE = 20, 4.0
 #: Bounds of the sample that the classifier is fitted on.
 POSITIVES, UNLABELLED = 1_500, 5_000
-#: Buckets that get a weight, at most.
-SELECTED = 100
+#: Bound of the likelihood ratio (chi-squared, one degree) that one in ``BUCKETS`` passes by chance.
+SURE = 21.4
+#: Words of 64 bits in the table of hashed ids, as a power of two.
+WORD_BITS = 18
 
 ADDED = ("held_out", "score", "predicted")
 
@@ -49,24 +55,55 @@ def word_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return row, codes & (BUCKETS - 1), np.minimum(100.0 * occurrences / (counts[row] + DAMPING), MOST_DENSE)
 
 
-def telling(targets: np.ndarray, rows: Rows, prior: float, most: int = SELECTED) -> np.ndarray:
-    """Buckets that tell toxic from clean text best, at most ``most``, best first.
+def telling(p_count: np.ndarray, u_count: np.ndarray, n_p: int, n_u: int) -> np.ndarray:
+    """Marks every bucket whose share among positives surely differs from that among the other texts.
+
+    The test is that of the likelihood ratio, which holds for rare buckets too. Its
+    bound lets through about one of all buckets by chance; how many pass follows
+    from the data alone.
+    """
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-300)), 0.0)
+
+    total, rows = p_count + u_count, max(n_p + n_u, 1)
+    ratio = 2 * (
+        part(p_count, total * (n_p / rows))
+        + part(u_count, total * (n_u / rows))
+        + part(n_p - p_count, (rows - total) * (n_p / rows))
+        + part(n_u - u_count, (rows - total) * (n_u / rows))
+    )
+    return ratio > SURE
+
+
+def bucket_counts(texts: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
+    """In how many of the texts each bucket is, and how many texts there are.
 
-    How common a bucket is in clean text is not seen, but follows from the prior:
-    its share in unlabelled text less the toxic part of it. Buckets are ranked by
-    the divergence of the two shares, less its sampling noise.
+    A task sends a row per bucket at most, and the driver gets no more than that.
     """
-    of_row = np.repeat(targets == 1, np.diff(rows.ends))
-    n_p, n_u = max((targets == 1).sum(), 1), max((targets != 1).sum(), 1)
-    p_count = np.bincount(rows.buckets[of_row], minlength=BUCKETS)
-    u_count = np.bincount(rows.buckets[~of_row], minlength=BUCKETS)
-    p = (p_count + 0.5) / (n_p + 1)
-    clean = np.maximum((u_count + 0.5) / (n_u + 1) - prior * p, 0) / (1 - prior) + 1 / n_u
-    strength = np.abs(p - clean) / np.sqrt(p * (1 - np.minimum(p, 0.999)) / n_p + clean / n_u)
-    strength *= np.abs(np.log(p / clean))
-    strength[(p_count + u_count < 5)] = 0
-    best = np.argsort(-strength, kind="stable")[:most]
-    return best[strength[best] > 0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, rows = np.zeros(BUCKETS, dtype=np.int64), 0
+        for batch in batches:
+            data, offsets = utf8(batch["text"])
+            rows += batch.num_rows
+            for start, end in slices(offsets):
+                part = data[offsets[start] : offsets[end]]
+                _, buckets, _ = word_features(part, offsets[start : end + 1] - offsets[start])
+                counts += np.bincount(buckets, minlength=BUCKETS)
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(seen, -1), pa.int32()), pa.array(np.append(counts[seen], rows), pa.int64())],
+            names=["bucket", "texts"],
+        )
+
+    reachable(texts.sparkSession)
+    counted = texts.select(text_of(text_col).alias("text")).mapInArrow(run, "bucket int, texts long")
+    table = counted.groupBy("bucket").agg(F.sum("texts").alias("texts")).toArrow()
+    bucket, found = table["bucket"].to_numpy(), table["texts"].to_numpy()
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    counts[bucket[bucket >= 0]] = found[bucket >= 0]
+    return counts, int(found[bucket < 0].sum())
 
 
 def fit_nnpu(
@@ -84,9 +121,6 @@ def fit_nnpu(
     positive, unlabelled = np.flatnonzero(targets == 1), np.flatnonzero(targets != 1)
     if not len(positive) or not len(unlabelled):
         return weights, float(bias[0])
-    used = np.zeros(BUCKETS, dtype=bool)
-    used[telling(targets, rows, prior)] = True
-    rows = rows.only(used)
     of_weights, of_bias = Adam(BUCKETS, rate, decay), Adam(1, rate, 0.0)
     random = np.random.default_rng(seed)
     batches = max(1, min(batches, len(positive), len(unlabelled)))
@@ -109,6 +143,20 @@ def fit_nnpu(
     return weights, float(bias[0])
 
 
+def _of_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ``ids``, which are distinct.
+
+    A bit per hashed id, in a table of bounded size, keeps most other texts out of
+    the join, so that they are not shuffled. A semi join would be moved before it.
+    """
+    place = F.shiftrightunsigned(F.xxhash64("id"), 64 - WORD_BITS - 6)
+    word, bit = F.shiftright(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
+    bits = ids.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
+    bits = bits.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    likely = texts.join(F.broadcast(bits), word == F.col("word")).where(F.getbit("bits", bit) == 1)
+    return likely.select("id", "text").join(ids, "id").select("id", "text")
+
+
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -124,7 +172,9 @@ def score_toxicity(
     0 modulo 5 are held out of the fit. ``prior`` is the share of toxic texts;
     without it, the share among the labelled rows of the training part. At most
     ``positives`` confirmed and ``unlabelled`` other documents are fitted on, those
-    with the least hashed ids; every text is scored whole.
+    with the least hashed ids; every text is scored whole. Which words may count is
+    told by all rows of the training part: as many as pass the test of ``telling``.
+    One that is in no text of the sample gets no weight.
 
     An id labelled more than once is toxic if any label says so; null labels and
     labels without a document count for nothing. Rows that repeat an id are each
@@ -148,10 +198,20 @@ def score_toxicity(
     ).union(
         marked.where(~toxic).select("id", place.alias("place"), F.lit(0.0).alias("target")).orderBy("place").limit(unlabelled)
     )
+    part = docs.where(crc_rest(id_col) != 0).select(ids.alias("id"), F.col(quoted(text_col)).alias("text"))
+    confirmed = _of_ids(part, known.where("toxic = 1").select("id"))
+    (p_count, n_p), (all_count, n_all) = bucket_counts(confirmed, "text"), bucket_counts(part, "text")
+    used = telling(p_count, all_count - p_count, n_p, n_all - n_p)
+
+    def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        row, bucket, value = word_features(data, offsets)
+        kept = used[bucket]
+        return row[kept], bucket[kept], value[kept]
+
     sample = docs.join(F.broadcast(chosen), ids.eqNullSafe(F.col("id")))
     if docs.schema[id_col].dataType.typeName() == "void":
         raise ValueError(f"{id_col} has no type")
-    targets, rows = sampled_features(sample.select("place", "target", F.col(quoted(text_col)).alias("text")), "text", word_features)
+    targets, rows = sampled_features(sample.select("place", "target", F.col(quoted(text_col)).alias("text")), "text", features)
     weights, bias = fit_nnpu(targets, rows, prior)
     named = kept.withColumn("held_out", crc_rest(id_col) == 0)
     out = scored(named, text_col, word_features, weights, bias, "score")

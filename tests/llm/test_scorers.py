@@ -40,6 +40,22 @@ def test_scores_do_not_see_labels_language_or_id(spark):
     assert by[1]["score"] > 0.5 > by[0]["score"]
 
 
+def test_toxicity_learns_as_many_words_as_the_data_show(spark):
+    """Forty toxic words, which take far more than a hundred buckets; a toxic text has one. Half is labelled."""
+    random = np.random.default_rng(4)
+    word = lambda: "".join(random.choice(list("abcdefghijklmnopqrst"), 12))
+    bad, calm = [word() for _ in range(40)], [word() for _ in range(400)]
+    rows = []
+    for i in range(16_000):
+        said = list(random.choice(calm, 30))
+        rows.append((i, " ".join([*said, *[bad[i // 10 % 40]] * 2] if i % 10 == 0 else said), "x", 0))
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(16_000) if i // 400 % 2], "doc_id long, toxic int")
+    out = score_toxicity(spark.createDataFrame(rows, SCHEMA), labels).where("held_out").collect()
+    toxic, clean = [r for r in out if r["doc_id"] % 10 == 0], [r for r in out if r["doc_id"] % 10]
+    assert sum(r["predicted"] for r in toxic) >= 0.9 * len(toxic)
+    assert sum(r["predicted"] for r in clean) <= 0.01 * len(clean)
+
+
 def test_toxicity_without_examples_or_rows(spark):
     labels = spark.createDataFrame([(None, 1), (3, None)], "doc_id long, toxic int")
     df = spark.createDataFrame([(1, "a b", None, None), (2, None, None, None)], SCHEMA)
