@@ -63,19 +63,23 @@ def lay_out(records: DataFrame, order: list[str], archive_records: int = 1000) -
 def leaves(replica: DataFrame) -> DataFrame:
     """``archive, node (offset), hash``: one row per offset.
 
-    Where rows repeat an offset, the hash tells how many there are and of which
-    digests the least and largest are; the count of rows is all that it keeps.
+    Where rows repeat an offset, the hash is of how many there are and of sums over
+    all their digests, hashed again, in pieces of 64 bits: it depends on every digest
+    and on no order, and no list of them is made.
     """
-    one = F.col("least") == F.col("most")
-    many = F.sha2(F.concat_ws(":", "least", "most", F.col("copies").cast("string")), 256)
+    digest = F.coalesce("digest", F.lit(""))
+    again = F.sha2(digest, 256)
+    pieces = [F.conv(F.substring(again, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17, 33, 49)]
+    sums = [f"sum_{at}" for at in range(len(pieces))]
+    many = F.sha2(F.concat_ws(":", *[F.col(name).cast("string") for name in sums], F.col("copies").cast("string")), 256)
     return (
         replica.groupBy("archive", F.col("offset").alias("node"))
         .agg(
-            F.min(F.coalesce("digest", F.lit(""))).alias("least"),
-            F.max(F.coalesce("digest", F.lit(""))).alias("most"),
+            F.min(digest).alias("least"),
             F.count("*").alias("copies"),
+            *[F.sum(piece).alias(name) for piece, name in zip(pieces, sums)],
         )
-        .select("archive", "node", F.when(one & (F.col("copies") == 1), F.col("least")).otherwise(many).alias("hash"))
+        .select("archive", "node", F.when(F.col("copies") == 1, F.col("least")).otherwise(many).alias("hash"))
     )
 
 

@@ -43,6 +43,13 @@ def test_equal_and_empty_replicas_repeats_and_nulls(spark):
         found(spark, [(None, 1, "a", None)], rows)
 
 
+def test_every_digest_of_a_repeated_offset_counts(spark):
+    rows = [(0, 0, d, None) for d in ("a", "c", "e", "e")] + [(0, 9, "x", None)]
+    assert found(spark, rows, rows[::-1]) == []
+    for other in ("acde", "abee", "acce"):
+        assert found(spark, rows, [(0, 0, d, None) for d in other] + rows[4:]) == [(0, 0, "changed")]
+
+
 def test_layout_of_records(spark):
     pages = [(i, f"http://e/{i}", "é" * (i % 50)) for i in range(300)] + [(None, None, None), (None, "u", "x"), (5, "http://e/5", "é" * 5)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
