@@ -57,6 +57,12 @@ def test_matches_a_trie(spark, order):
     assert got(score_pretrained(spark.createDataFrame(rows, SCHEMA), order=order)) == brute(rows, order)
 
 
+def test_the_default_looks_five_bytes_back(spark):
+    random.seed(5)
+    rows = [(i, "".join(random.choice(["abcdex", "zbcdey", "é"]) for _ in range(20)), "x") for i in range(30)]
+    assert got(score_pretrained(spark.createDataFrame(rows, SCHEMA))) == brute(rows, 5) != brute(rows, 4)
+
+
 def test_predictions_of_a_context_add_up_to_one():
     random.seed(2)
     trie, keys, order = Trie(2), Counter(), 2
