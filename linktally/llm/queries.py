@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from linktally.llm.bpe import op9_bpe
+from linktally.llm.centroids import OP12_SQL, op12_centroids
 from linktally.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from linktally.llm.jaccard import OP4_SQL, op4_jaccard
 from linktally.llm.merkle import OP10_SQL, op10_merkle_audit
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_merkle_audit": op10_merkle_audit,
+    "op12_centroids": op12_centroids,
 }
 
 ORACLE_SQL = {
@@ -31,4 +33,5 @@ ORACLE_SQL = {
     "op4_jaccard": OP4_SQL,
     "op7_topk": OP7_SQL,
     "op10_merkle_audit": OP10_SQL,
+    "op12_centroids": OP12_SQL,
 }
