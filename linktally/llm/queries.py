@@ -8,6 +8,7 @@ from linktally.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from linktally.llm.jaccard import OP4_SQL, op4_jaccard
 from linktally.llm.merkle import OP10_SQL, op10_merkle_audit
 from linktally.llm.mixing import op2_mixing
+from linktally.llm.pairmax import OP13_SQL, op13_pairmax
 from linktally.llm.ppm import op3_ppm
 from linktally.llm.quality import op6_quality
 from linktally.llm.quotes import op5_quotes
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_merkle_audit": op10_merkle_audit,
     "op12_centroids": op12_centroids,
+    "op13_pairmax": op13_pairmax,
 }
 
 ORACLE_SQL = {
@@ -34,4 +36,5 @@ ORACLE_SQL = {
     "op7_topk": OP7_SQL,
     "op10_merkle_audit": OP10_SQL,
     "op12_centroids": OP12_SQL,
+    "op13_pairmax": OP13_SQL,
 }
