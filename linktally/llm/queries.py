@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from linktally.llm.bottomk import OP11_SQL, op11_bottomk
 from linktally.llm.bpe import op9_bpe
 from linktally.llm.centroids import OP12_SQL, op12_centroids
 from linktally.llm.exact_dedup import OP1_SQL, op1_exact_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_merkle_audit": op10_merkle_audit,
+    "op11_bottomk": op11_bottomk,
     "op12_centroids": op12_centroids,
     "op13_pairmax": op13_pairmax,
 }
@@ -35,6 +37,7 @@ ORACLE_SQL = {
     "op4_jaccard": OP4_SQL,
     "op7_topk": OP7_SQL,
     "op10_merkle_audit": OP10_SQL,
+    "op11_bottomk": OP11_SQL,
     "op12_centroids": OP12_SQL,
     "op13_pairmax": OP13_SQL,
 }
