@@ -10,7 +10,7 @@ Inverted lists of retained values generate candidates. A value in one set alone
 list at all. Ordering a sketch's values by the length of their lists, two sketches
 with ``t`` in common share one of the first ``size - t + 1`` of each, so only these are looked up;
 most sets have too few shared values and drop out before any pair is made. Then, in two
-rounds: every set with the one set that heads most of its lists, which joins the
+rounds: every set with the one set that heads most of its lists, the most central one, which joins the
 copies of a group into one component; and, over the lists that still hold several
 components, all pairs of different components, which pass a parity sketch of the
 whole sets (it never rejects a link), the union estimate, and the exact
@@ -31,11 +31,13 @@ from linktally.llm.common import cut, lowered, mixed, quoted, reachable, slices,
 from linktally.llm.components import connected
 
 #: Values that a sketch retains.
-RETAINED = 128
+RETAINED = 64
 #: Chance at most that a linked pair's sketches look too different.
 LOSS = 1e-12
 #: Members of a list that one task compares with each other.
 LIST_BLOCK = 8192
+#: Partners of a set that one task compares with it.
+STAR = 4096
 #: 64-bit words of parity sketches compared at once; bounds the arrays made from them.
 AT_ONCE = 1 << 20
 #: Texts of one slice.
@@ -137,40 +139,30 @@ def _sign(size: int, retained: int):
 
 
 def _lookups(retained: int, percent: int):
-    """Of sets with shared values enough: all of these, shortest list first, how many to look up, and a first partner.
-
-    The partner heads the most lists of the set, itself aside.
-    """
+    """Of sets with shared values enough: all of these, shortest list first, how many to look up, and the lists' lengths in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch["shared"]
             ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             flat = lists.flatten()
-            length, value, head = (flat.field(name).to_numpy() for name in ("length", "value", "head"))
-            node, n = batch["node"].to_numpy(), batch["n"].to_numpy()
+            length, value = flat.field("length").to_numpy(), flat.field("value").to_numpy()
+            node, n, shared = batch["node"].to_numpy(), batch["n"].to_numpy(), np.diff(ends)
             need = required(n, retained, percent)
-            row = np.repeat(np.arange(len(node)), np.diff(ends))
+            row = np.repeat(np.arange(len(node)), shared)
+            enough = shared >= need
             order = np.lexsort((value, length, row))
-            enough = np.diff(ends) >= need
-            value, head = value[order], head[order]
-            partners = np.full(len(node), -1, dtype=np.int64)
-            for r in np.flatnonzero(enough):
-                heads, times = np.unique(head[ends[r] : ends[r + 1]], return_counts=True)
-                other = heads != node[r]
-                if other.any():
-                    partners[r] = heads[other][np.argmax(times[other])]
-            size = np.where(enough, np.diff(ends), 0)
-            out = np.concatenate([[0], np.cumsum(size[enough])]).astype(np.int32)
+            out = np.concatenate([[0], np.cumsum(shared[enough])]).astype(np.int32)
+            weight = np.bincount(row, weights=length, minlength=len(node)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(node[enough]),
                     pa.array(n[enough]),
-                    pa.ListArray.from_arrays(pa.array(out), pa.array(value[enough[row]])),
-                    pa.array((np.diff(ends) - need + 1)[enough].astype(np.int32)),
-                    pa.array(partners[enough], mask=partners[enough] < 0),
+                    pa.ListArray.from_arrays(pa.array(out), pa.array(value[order][enough[row]])),
+                    pa.array((shared - need + 1)[enough].astype(np.int32)),
+                    pa.array(weight[enough]),
                 ],
-                names=["node", "n", "values", "looked_up", "partner"],
+                names=["node", "n", "values", "looked_up", "weight"],
             )
 
     return run
@@ -194,25 +186,45 @@ def union_estimate(left: pa.ListArray, right: pa.ListArray, retained: int) -> tu
     return common, np.minimum(number[:, -1], retained)
 
 
+def _spokes(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Rows of stars, the places of their spokes among these, and for each spoke that of its hub."""
+    last = None
+    for whole in batches:
+        for start in range(0, whole.num_rows, rows):
+            table = pa.Table.from_batches([whole.slice(start, rows)])
+            if last is not None:
+                table = pa.concat_tables([last, table])
+            table = table.combine_chunks()
+            is_hub = table["y"].is_null().to_numpy()
+            hub = np.maximum.accumulate(np.where(is_hub, np.arange(len(is_hub)), -1))
+            last = table.slice(int(hub[-1]), 1)
+            spokes = np.flatnonzero(~is_hub)
+            if len(spokes):
+                yield table, spokes, hub[spokes]
+
+
 def _estimated(retained: int, percent: int):
-    """Pairs that their sketches leave possible; ``sure`` where the sketches are the whole sets."""
+    """Pairs that their parities and sketches leave possible; ``sure`` where the sketches are the whole sets."""
     least = shared_at_least(retained, percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 2048):
-                batch = whole.slice(start, 2048)
-                common, size = union_estimate(batch["left"], batch["right"], retained)
-                sure = (batch["n_left"].to_numpy() <= retained) & (batch["n_right"].to_numpy() <= retained)
-                total = batch["n_left"].to_numpy() + batch["n_right"].to_numpy()
-                shared = np.zeros(len(sure), dtype=np.int64)
-                for row in np.flatnonzero(sure):  # here the sketches are the full sets
-                    shared[row] = len(np.intersect1d(batch["left"][row].values, batch["right"][row].values, assume_unique=True))
-                passed = np.where(sure, 100 * shared >= percent * (total - shared), common >= np.minimum(least, size))
-                keep = pa.array(passed)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["x"].filter(keep), batch["y"].filter(keep), pa.array(sure[passed])], names=["x", "y", "sure"]
-                )
+        for table, spokes, hubs in _spokes(batches, 2048):
+            n = table["n"].to_numpy()
+            apart = _Parities(table["parity"].to_numpy()).apart(hubs, spokes)
+            low, high = np.minimum(n[hubs], n[spokes]), np.maximum(n[hubs], n[spokes])
+            fit = (100 * low >= percent * high) & (apart * (100 + percent) <= (low + high) * (100 - percent))
+            spokes, hubs = spokes[fit], hubs[fit]
+            total = n[hubs] + n[spokes]
+            sketch = table["sketch"].combine_chunks()
+            left, right = sketch.take(pa.array(hubs)), sketch.take(pa.array(spokes))
+            common, size = union_estimate(left, right, retained)
+            sure = np.maximum(n[hubs], n[spokes]) <= retained
+            passed = common >= np.minimum(least, size)
+            for row in np.flatnonzero(sure):  # here the sketches are the full sets
+                both = len(np.intersect1d(left[row].values, right[row].values, assume_unique=True))
+                passed[row] = 100 * both >= percent * (total[row] - both)
+            x, y = (table[name].combine_chunks().take(pa.array(spokes[passed])) for name in ("x", "y"))
+            yield pa.RecordBatch.from_arrays([x, y, pa.array(sure[passed])], names=["x", "y", "sure"])
 
     return run
 
@@ -221,13 +233,16 @@ def _compared(percent: int):
     """Pairs whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for table, spokes, hubs in _spokes(batches, 256):
+            sets = table["whole"].combine_chunks()
             keep = []
-            for left, right in zip(batch["left"], batch["right"]):
-                x, y = left.values.to_numpy(), right.values.to_numpy()
+            for spoke, hub in zip(spokes, hubs):
+                x, y = sets[hub].values.to_numpy(), sets[spoke].values.to_numpy()
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["x", "y"])
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    keep.append(spoke)
+            x, y = (table[name].combine_chunks().take(pa.array(keep, pa.int64())) for name in ("x", "y"))
+            yield pa.RecordBatch.from_arrays([x, y], names=["x", "y"])
 
     return run
 
@@ -283,10 +298,25 @@ class _Parities:
         return out
 
 
+def _meet_before(i: np.ndarray, j: np.ndarray, earlier: np.ndarray, firsts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Of each pair, do the two have an earlier value in common?"""
+    ends = np.concatenate([i, j])
+    pair = np.repeat(np.tile(np.arange(len(i)), 2), lengths[ends])
+    begin = np.repeat(firsts[ends] - (np.cumsum(lengths[ends]) - lengths[ends]), lengths[ends])
+    values = earlier[begin + np.arange(len(pair))]
+    order = np.lexsort((values, pair))
+    pair, values = pair[order], values[order]
+    out = np.zeros(len(i), dtype=bool)
+    out[pair[1:][(pair[1:] == pair[:-1]) & (values[1:] == values[:-1])]] = True
+    return out
+
+
 def _paired(percent: int):
-    """Pairs of a list between components that sizes and parities leave possible.
+    """Pairs of a list between components that sizes and parities leave possible, each from one list only.
 
     Where a list is dealt over blocks, members of one block meet in one of its tasks.
+    Two sets are a pair of the first list that both are looked up in; ``earlier``
+    has those before this one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,6 +324,9 @@ def _paired(percent: int):
             node, n, label = columns["node"], columns["n"], columns["label"]
             parities = _Parities(columns["parity"])
             crossed, block = columns["low"] != columns["high"], columns["block"]
+            lengths = np.array([len(values) for values in columns["earlier"]], dtype=np.int64)
+            earlier = np.concatenate([*columns["earlier"], np.zeros(0, dtype=np.int64)])
+            firsts = np.cumsum(lengths) - lengths
             sizes = np.diff(np.concatenate([starts, [len(node)]]))
             begin = np.repeat(starts, sizes)
             work = np.concatenate([[0], np.cumsum(np.arange(len(node)) - begin)])
@@ -307,8 +340,14 @@ def _paired(percent: int):
                 fit &= ~crossed[j] | (block[i] != block[j])
                 i, j = i[fit], j[fit]
                 fit = parities.apart(i, j) * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
-                x, y = np.minimum(node[i[fit]], node[j[fit]]), np.maximum(node[i[fit]], node[j[fit]])
-                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+                i, j = i[fit], j[fit]
+                for start in range(0, len(i), 1 << 16):
+                    some = slice(start, start + (1 << 16))
+                    new = ~_meet_before(i[some], j[some], earlier, firsts, lengths)
+                    x, y = node[i[some][new]], node[j[some][new]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"]
+                    )
                 at = to
 
     return run
@@ -330,53 +369,66 @@ class BottomK:
         )
         self.signed = cut(signed.withColumn("row", F.monotonically_increasing_id()), "bottomk-signed")
         self.rows = self.signed.select("id", "row", "a", "b", "n")
-        # a set is one node however many texts have it; its least row stands for them
+        # a set is one node however many texts have it, known by its row of the least id
         first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("first")
         nodes = (
             self.signed.where("n > 0")
             .groupBy("a", "b")
             .agg(first, F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("parity").alias("parity"))
         )
-        self.nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "bottomk-nodes")
+        self.nodes = cut(nodes.withColumn("node", F.col("first.row")), "bottomk-nodes")
 
     def _looked_up(self, shared: DataFrame) -> DataFrame:
-        lists = shared.groupBy("node").agg(F.collect_list(F.struct("length", "value", "head")).alias("shared"))
+        lists = shared.groupBy("node").agg(F.collect_list(F.struct("length", "value")).alias("shared"))
         return lists.join(self.nodes.select("node", "n"), "node").mapInArrow(
-            _lookups(self.retained, self.percent),
-            "node long, n long, values array<long>, looked_up int, partner long",
+            _lookups(self.retained, self.percent), "node long, n long, values array<long>, looked_up int, weight long"
         )
 
     def lists(self) -> DataFrame:
         """Sets with enough values in lists of two or more."""
         entries = self.nodes.select("node", F.explode("sketch").alias("value"))
-        found = entries.groupBy("value").agg(F.count("*").alias("length"), F.min("node").alias("head")).where("length > 1")
+        found = entries.groupBy("value").agg(F.count("*").alias("length")).where("length > 1")
         return cut(self._looked_up(entries.join(found, "value")), "bottomk-lists")
 
+    def partners(self, lists: DataFrame) -> DataFrame:
+        """For each set ``y`` the set ``x`` that heads most of the lists it is looked up in, itself aside.
+
+        A list is headed by its member with the longest lists: of a group of near copies, the
+        one that the others were made from has most values in common with them.
+        """
+        member = lists.select("node", "weight", F.explode(F.slice("values", F.lit(1), F.col("looked_up"))).alias("value"))
+        heads = member.groupBy("value").agg(F.max(F.struct("weight", "node"))["node"].alias("head"))
+        votes = member.join(heads, "value").where("head <> node").groupBy("node", "head").agg(F.count("*").alias("votes"))
+        best = F.max(F.struct("votes", "head"))["head"]
+        return cut(votes.groupBy("node").agg(best.alias("x")).select("x", F.col("node").alias("y")), "bottomk-partners")
+
+    def _stars(self, pairs: DataFrame, about: DataFrame) -> DataFrame:
+        """``x, part, y`` and what is known ``about`` a node: for each ``x`` its own row, ``y`` null, then one for each partner.
+
+        A star of many partners is dealt out, its hub with every part. Partners are
+        shuffled once, hubs once for each part.
+        """
+        parts = pairs.groupBy("x").agg(F.ceil(F.count("*") / STAR).alias("parts"))
+        dealt = pairs.join(parts, "x").select("x", "y", F.pmod(F.xxhash64("y"), F.col("parts")).alias("part"))
+        hubs = dealt.select("x", "part").distinct().select("x", "part", F.lit(None).cast("long").alias("y"), F.col("x").alias("node"))
+        ends = cut(dealt.select("x", "part", "y", F.col("y").alias("node")).unionByName(hubs), "bottomk-ends")
+        return (
+            ends.join(about, "node").drop("node").repartition("x", "part").sortWithinPartitions("x", "part", F.asc_nulls_first("y"))
+        )
+
     def linked(self, pairs: DataFrame) -> DataFrame:
         """Of pairs ``x, y`` the links: by union estimate, then on full sets."""
-        side = self.nodes.select("node", "n", "sketch")
         possible = cut(
-            pairs.join(side.toDF("x", "n_left", "left"), "x")
-            .join(side.toDF("y", "n_right", "right"), "y")
-            .mapInArrow(_estimated(self.retained, self.percent), "x long, y long, sure boolean"),
+            self._stars(pairs, self.nodes.select("node", "n", "sketch", "parity")).mapInArrow(
+                _estimated(self.retained, self.percent), "x long, y long, sure boolean"
+            ),
             "bottomk-possible",
         )
-        open_pairs = possible.where("NOT sure").select("x", "y")
-        needed = (
-            open_pairs.select(F.explode(F.array("x", "y")).alias("node"))
-            .distinct()
-            .join(self.nodes.select("node", F.col("first.row").alias("row"), "n", "sketch"), "node")
-        )
-        # sets retained whole have no other copy
-        found = needed.join(self.signed.select("row", "whole"), "row").select(
-            "node", F.when(F.col("n") <= self.retained, F.col("sketch")).otherwise(F.col("whole")).alias("whole")
-        )
-        sets = cut(found, "bottomk-sets")
-        compared = (
-            open_pairs.join(sets.toDF("x", "left"), "x")
-            .join(sets.toDF("y", "right"), "y")
-            .mapInArrow(_compared(self.percent), "x long, y long")
-        )
+        # a set is in its sketch if that retains it whole
+        whole = F.when(F.col("n") <= self.retained, F.col("sketch")).otherwise(F.col("whole")).alias("whole")
+        compared = self._stars(
+            possible.where("NOT sure").select("x", "y"), self.signed.select(F.col("row").alias("node"), whole)
+        ).mapInArrow(_compared(self.percent), "x long, y long")
         return cut(possible.where("sure").select("x", "y").union(compared), "bottomk-links")
 
     def pairs_between(self, lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -385,37 +437,39 @@ class BottomK:
         member = labelled.select("node", "label", F.explode("values").alias("value"))
         mixed_lists = (
             member.groupBy("value")
-            .agg(F.count("*").alias("length"), F.min("label").alias("head"), F.max("label").alias("last"))
-            .where("head < last")
-            .select("value", "length", "head")
+            .agg(F.count("*").alias("length"), F.min("label").alias("least"), F.max("label").alias("most"))
+            .where("least < most")
+            .select("value", "length")
         )
         again = self._looked_up(member.join(mixed_lists, "value"))
+        looked_up = again.select("node", F.slice("values", F.lit(1), F.col("looked_up")).alias("values"))
         entries = cut(
-            again.select("node", F.explode(F.slice("values", F.lit(1), F.col("looked_up"))).alias("value")), "bottomk-entries"
+            looked_up.select("node", "values", F.posexplode("values").alias("place", "value")).select(
+                "node", "value", F.slice("values", F.lit(1), F.col("place")).alias("earlier")
+            ),
+            "bottomk-entries",
         )
         counts = entries.groupBy("value").agg(F.ceil(F.count("*") / LIST_BLOCK).alias("blocks"), F.count("*").alias("members"))
         block = F.pmod(F.xxhash64("node"), F.col("blocks"))
         dealt = entries.join(counts.where("members > 1"), "value").select(
-            "value", "node", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+            "value", "node", "earlier", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
         )
         about = self.nodes.select("node", "n", "parity").join(labelled.select("node", "label"), "node")
         return (
             dealt.join(about, "node")
             .select(
                 "value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                "node", "block", "n", "label", "parity",
+                "node", "block", "n", "label", "parity", "earlier",
             )
             .repartition("value", "low", "high")
             .sortWithinPartitions("value", "low", "high", "n", "node")
             .mapInArrow(_paired(self.percent), "x long, y long")
-            .distinct()
         )
 
     def labels(self) -> DataFrame:
         """``node, label`` of every set that has a link."""
         lists = self.lists()
-        partners = lists.where("partner IS NOT NULL").select(F.col("partner").alias("x"), F.col("node").alias("y"))
-        links = self.linked(partners)
+        links = self.linked(self.partners(lists))
         labels = connected(links)
         further = self.linked(cut(self.pairs_between(lists, labels), "bottomk-pairs"))
         return labels if further.isEmpty() else connected(links.union(further))
