@@ -19,9 +19,10 @@ from linktally.operators.enrich import (
     links_with_channel,
     video_links,
 )
+from linktally.operators.quarantine import quarantine_rows, with_reason
 from linktally.plans.reports import domain_month, domains_table, platform_link_month, platform_links_table
 from linktally.plans.shares import shares_from_posts
-from linktally.schemas import DOMAIN_MONTH_SCHEMA, LINK_MONTH_SCHEMA, require_columns
+from linktally.schemas import DOMAIN_MONTH_SCHEMA, LINK_MONTH_SCHEMA, POST_COLUMNS, require_columns
 from linktally.sources.exports import ranked, write_csv
 from linktally.sources.posts import DEFAULT_PATTERN, read_posts
 from linktally.sources.tables import (
@@ -44,6 +45,14 @@ class Outputs:
     def _at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    @property
+    def posts(self) -> str:
+        return self._at("posts")
+
+    @property
+    def quarantine(self) -> str:
+        return self._at("quarantine")
+
     @property
     def shares(self) -> str:
         return self._at("shares")
@@ -81,6 +90,29 @@ class Outputs:
         return self._at("channels")
 
 
+def store_posts(
+    posts: DataFrame, out: Outputs, months: Sequence[str] | None = None, codec: str = "zstd"
+) -> DataFrame:
+    """Store posts read with ``keep_bad`` once, quarantine the bad ones, and give back the others.
+
+    The raw files are parsed a single time: the rows go to a table with a folder of
+    usable and one of bad rows, and what follows reads the folder it needs. With
+    ``months`` the quarantine keeps the rows of other months; rows without one are added, once.
+    """
+    judged = with_reason(posts)
+    judged.withColumn("usable", F.col("reason").isNull()).write.mode("overwrite").option("compression", codec).partitionBy(
+        "usable"
+    ).parquet(out.posts)
+    stored = posts.sparkSession.read.schema(judged.schema.add("usable", "boolean")).parquet(out.posts)
+    bad = quarantine_rows(stored.where("NOT usable"))
+    if months is None:
+        write_by_month(bad, out.quarantine, codec)
+    else:
+        kept = bad.where(F.col("month").isin(*months) | F.col("month").isNull())
+        refresh_by_month(kept, out.quarantine, months, codec, undated=True)
+    return stored.where("usable").select(*POST_COLUMNS)
+
+
 def write_rollups(
     shares: DataFrame, out: Outputs, platform: Platform = YOUTUBE, months: Sequence[str] | None = None
 ) -> None:
@@ -150,6 +182,7 @@ def run_pipeline(
     refresh_months: Sequence[str] | None = None,
     null_zero_ids: bool = True,
     strict_time: bool = False,
+    quarantine: bool = False,
     codec: str = "zstd",
     **csv_options,
 ) -> Outputs:
@@ -160,7 +193,10 @@ def run_pipeline(
     those whose names match ``parsed_pattern`` if it is given.
     ``refresh_months`` takes only these months from the inputs and replaces
     them in the tables of an earlier run; the exports then cover all months.
-    ``codec`` compresses the shares table; ``csv_options`` go to ``read_posts``.
+    ``quarantine`` puts malformed rows and those whose time cannot be read into a
+    table with reason, file and text; without it a malformed row raises, and a
+    row without a time stays in the shares. ``codec`` compresses the shares
+    table; ``csv_options`` go to ``read_posts``.
     Without ``video_metadata`` (``video_id``, ``channel_id``) the channel report
     holds direct channel links only. The stored tables are where lineage ends:
     a lost executor costs a stage, not the run.
@@ -172,7 +208,9 @@ def run_pipeline(
         require_columns(video_metadata.columns, ("video_id", "channel_id"), "video metadata")
     if shares_path is None:
         if parsed_links is None:
-            posts = read_posts(spark, inputs, pattern, **csv_options)
+            posts = read_posts(spark, inputs, pattern, keep_bad=quarantine, **csv_options)
+            if quarantine:
+                posts = store_posts(posts, outputs, refresh_months, codec)
             shares = shares_from_posts(
                 posts, rules, (platform,), null_zero_ids, strict_time, cluster=True, months=refresh_months
             )

@@ -7,6 +7,9 @@ from pyspark.sql import types as T
 # The columns a raw post file must have.
 POST_COLUMNS = ("id", "local_time", "user_id", "retweeted_id", "links")
 
+# What a read that keeps bad rows adds to the columns it was asked for.
+BAD_ROW_COLUMNS = ("malformed", "raw_row", "source_file")
+
 # The columns of a parsed-link file written by an earlier tool.
 PARSED_LINK_COLUMNS = (
     "id",
@@ -33,6 +36,10 @@ SHARES_SCHEMA = T.StructType(
     ]
 )
 
+# Rows that did not become shares, and why.
+QUARANTINE_SCHEMA = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("reason", "source_file", "raw_row", "month")]
+)
 
 
 def _monthly(texts, counts) -> T.StructType:
