@@ -142,7 +142,7 @@ def channel_rollup(links: DataFrame) -> DataFrame:
 
     A post with two links of one channel counts twice: totals are sums over
     links. Measures are the columns of the link reports and any number column; further
-    columns are left out.
+    columns are left out. Sums and texts are read apart: give a stored table.
     """
     texts = ("normalized_url", "link_for_scraping")
     measures = [
@@ -152,13 +152,10 @@ def channel_rollup(links: DataFrame) -> DataFrame:
         or field.name.startswith(MONTH_COLUMN_PREFIX)
         or isinstance(field.dataType, T.NumericType)
     ]
-    return (
-        links.where(F.col("channel_id").isNotNull())
-        .groupBy("channel_id")
-        .agg(
-            *[F.min(name).alias(name) for name in texts],
-            *[F.expr(f"sum(CAST(`{name}` AS BIGINT)) AS `{name}`") for name in measures],
-            F.count("channel_id").alias("nb_links"),
-        )
-        .select(*texts, *measures, "channel_id", "nb_links")
+    rows = links.where(F.col("channel_id").isNotNull())
+    sums = rows.groupBy("channel_id").agg(
+        *[F.expr(f"sum(CAST(`{name}` AS BIGINT)) AS `{name}`") for name in measures], F.count("channel_id").alias("nb_links")
     )
+    # Apart from the sums, which a text minimum beside them would have Spark sort.
+    named = rows.groupBy("channel_id").agg(*[F.min(name).alias(name) for name in texts])
+    return sums.join(named, "channel_id").select(*texts, *measures, "channel_id", "nb_links")

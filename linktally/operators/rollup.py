@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linktally.functions.settle import settle
 from linktally.functions.times import month_column
 from linktally.schemas import MONTH_COLUMN_PREFIX
 
@@ -41,8 +42,7 @@ def monthly_rollup(df: DataFrame, spec: RollupSpec, month: str = "month") -> Dat
     within each task, so a key holding a large share of all rows is spread over
     many tasks. The second step moves one row per key, month and task.
 
-    Carried columns are found apart and joined by key. In one aggregate their
-    text would make Spark sort every row, for the counts as well.
+    Carried columns go through the same scan and shuffle, see ``_tagged_rollup``.
     """
     keys = [*spec.keys, "month"]
     others = {*spec.distinct.values(), *spec.carried.values()} - {*keys}
@@ -52,24 +52,64 @@ def monthly_rollup(df: DataFrame, spec: RollupSpec, month: str = "month") -> Dat
     if spec.skip_null_keys:
         rows = rows.dropna(subset=list(spec.keys))
     rows = rows.select(*spec.keys, F.col(month).alias("month"), *sorted(others))
-    counts = rows.groupBy(*keys).agg(
-        *[F.count_distinct(column).alias(name) for name, column in spec.distinct.items()]
+    if spec.carried:
+        return _tagged_rollup(rows, spec, keys)
+    return rows.groupBy(*keys).agg(*[F.count_distinct(column).alias(name) for name, column in spec.distinct.items()])
+
+
+def _tagged_rollup(rows: DataFrame, spec: RollupSpec, keys: Sequence[str]) -> DataFrame:
+    """Distinct counts and carried columns from one scan and one shuffle of the rows.
+
+    Every row becomes one row per measure and carried column, tagged with its
+    number; repeats go within each task, and the rest is shuffled by key, month,
+    tag and value. Both aggregates that follow read this one shuffle: the counts
+    by hashing, and the carried texts, for which Spark sorts, from their own few rows.
+    """
+    measures = len(spec.distinct)
+    kinds = {name: rows.schema[column].dataType for name, column in spec.carried.items()}
+    entries = [
+        F.struct(
+            F.lit(tag).alias("_tag"),
+            F.col(column).cast("string").alias("_value"),
+            *[F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()],
+        )
+        for tag, column in enumerate(spec.distinct.values())
+    ]
+    for tag, carried in enumerate(spec.carried, measures):
+        values = [
+            (F.col(spec.carried[name]) if name == carried else F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items()
+        ]
+        entries.append(F.struct(F.lit(tag).alias("_tag"), F.lit(None).cast("string").alias("_value"), *values))
+    names = {key: f"_key{place}" for place, key in enumerate(keys)}  # a carried column may be called like a key
+    tagged = rows.select(*[F.col(key).alias(name) for key, name in names.items()], F.inline(F.array(*entries)))
+    # a carried row stays where its value is null too: it stands for its key
+    useful = tagged.where((F.col("_tag") >= measures) | F.col("_value").isNotNull()).distinct()
+    shared = settle(useful, *useful.columns)
+    own = list(names.values())
+    counts = (
+        shared.where(F.col("_tag") < measures)
+        .groupBy(*own)
+        .agg(*[F.count_if(F.col("_tag") == tag).alias(name) for tag, name in enumerate(spec.distinct)])
+    )
+    carried = shared.where(F.col("_tag") >= measures).groupBy(*own).agg(*[F.min(name).alias(name) for name in kinds])
+    joined = _joined(carried, counts, own, spec.skip_null_keys, "left")
+    return joined.select(
+        *[F.col(name).alias(key) for key, name in names.items()],
+        *[F.coalesce(name, F.lit(0)).alias(name) for name in spec.distinct],
+        *kinds,
     )
-    for name, column in spec.carried.items():
-        values = rows.select(*keys, F.col(column).alias(name)).distinct()
-        smallest = values.groupBy(*keys).agg(F.min(name).alias(name))
-        if spec.skip_null_keys:
-            counts = counts.join(smallest, keys)  # both sides are already placed by key
-        else:
-            counts = _join_null_safe(counts, smallest, keys)
-    return counts
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], never_null: bool, how: str = "inner") -> DataFrame:
+    """Join two tables with the same unique keys, placed by them already."""
+    return left.join(right, list(keys), how) if never_null else _join_null_safe(left, right, keys, how)
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join two tables with the same unique keys; a null key matches a null key."""
     renamed = right.withColumnsRenamed({key: f"_{key}" for key in keys})
     same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
-    return left.join(renamed, same).drop(*[f"_{key}" for key in keys])
+    return left.join(renamed, same, how).drop(*[f"_{key}" for key in keys])
 
 
 def present_months(df: DataFrame) -> list[str]:
@@ -89,13 +129,35 @@ def merge_months(
 
     ``by_month`` names the measure that also gets one column for each of
     ``months``, 0 where the key has no row. Input tables of several runs can be
-    put together with ``unionByName`` first; the sums are the same.
+    put together with ``unionByName`` first; the sums are the same. Carried
+    columns are read apart, since Spark would sort the rows of an aggregate that
+    keeps text beside sums: give a stored table where there are any.
     """
-    columns = [F.sum(name).alias(name) for name in spec.distinct]
-    if by_month:
-        columns += [
-            F.expr(f"sum(CASE WHEN month = '{month}' THEN `{by_month}` ELSE 0 END) AS `{month_column(month, prefix)}`")
-            for month in months
-        ]
-    columns += [F.min(name).alias(name) for name in spec.carried]
-    return monthly.groupBy(*spec.keys).agg(*columns)
+    sums = [F.sum(name).alias(name) for name in spec.distinct]
+    if by_month and months:
+        merged = _summed_by_slot(monthly, spec, months, by_month, prefix)
+    else:
+        merged = monthly.groupBy(*spec.keys).agg(*sums)
+    if spec.carried:
+        texts = monthly.groupBy(*spec.keys).agg(*[F.min(name).alias(name) for name in spec.carried])
+        merged = _joined(merged, texts, spec.keys, spec.skip_null_keys)
+    return merged
+
+
+def _summed_by_slot(monthly: DataFrame, spec: RollupSpec, months: Sequence[str], by_month: str, prefix: str) -> DataFrame:
+    """Sums of every measure, and of one measure for every month.
+
+    A row gives a value to the slot of each measure, and one to that of its month.
+    One pivot adds up all slots: a hash finds the slot of a value, so the work for
+    a row does not grow with the months.
+    """
+    totals = {name: f"total of {name}" for name in spec.distinct}
+    slots = [F.struct(F.lit(slot).alias("_slot"), F.col(name).cast("bigint").alias("_value")) for name, slot in totals.items()]
+    slots.append(F.struct(F.col("month").alias("_slot"), F.col(by_month).cast("bigint").alias("_value")))
+    values = monthly.select(*spec.keys, F.inline(F.array(*slots)))
+    wide = values.groupBy(*spec.keys).pivot("_slot", [*totals.values(), *months]).agg(F.sum("_value"))
+    return wide.select(
+        *spec.keys,
+        *[F.col(f"`{slot}`").alias(name) for name, slot in totals.items()],
+        *[F.coalesce(F.col(f"`{month}`"), F.lit(0)).alias(month_column(month, prefix)) for month in months],
+    )

@@ -327,6 +327,14 @@ GROUP BY tweet_id, domain_name HAVING count(*) > 1""",
     "nameless_channel_links": f"""{PLATFORM_PAGES}
 SELECT count(*) FILTER (WHERE link_kind = 'channel' AND channel_id IS NULL) AS nb_channel_links_without_id FROM classified""",
     "csv_roundtrip": DOMAINS_TOTAL_SQL,
+    "csv_split": DOMAINS_TOTAL_SQL,
+    "quarantine": """WITH t AS (
+  SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS a, CAST(o_orderdate AS VARCHAR) AS b, CAST(o_custkey AS VARCHAR) AS c,
+         '"https://site' || CAST(o_orderkey % 50 AS VARCHAR) || '.com/a,b"' AS link FROM orders)
+SELECT 'malformed row' AS reason, a || ',' || b || ',' || c AS raw_row, true AS has_file FROM t WHERE k % 41 = 1
+UNION ALL SELECT 'malformed row', a || ',' || b || ',' || c || ',0,' || link || ',more', true FROM t WHERE k % 41 <> 1 AND k % 43 = 1
+UNION ALL SELECT 'unreadable time', a || ',soon,' || c || ',0,' || link, true FROM t WHERE k % 41 <> 1 AND k % 43 <> 1 AND k % 47 = 1
+UNION ALL SELECT 'shared', CAST(count(*) AS VARCHAR), true FROM t WHERE k % 41 <> 1 AND k % 43 <> 1 AND k % 47 <> 1""",
     "bronze_roundtrip": LINK_MONTH_SQL,
     "parsed_links_read": f"{SHARES} SELECT * FROM shares",
     "metadata_roundtrip": f"WITH {METADATA} SELECT video_id, channel_id FROM video_metadata",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linktally.functions.suffixes import read_suffix_rules, suffix_rules
@@ -21,7 +21,7 @@ from linktally.operators.enrich import (
     video_links,
 )
 from linktally.operators.links import clean_posts, explode_links
-from linktally.operators.rollup import RollupSpec, merge_months, monthly_rollup, present_months
+from linktally.operators.rollup import RollupSpec, merge_months, monthly_rollup
 from linktally.plans.pipeline import Outputs, run_pipeline, write_links_by_kind, write_rollups
 from linktally.plans.reports import (
     domain_month,
@@ -30,9 +30,9 @@ from linktally.plans.reports import (
     platform_links_table,
 )
 from linktally.plans.shares import shares_from_posts, with_url_and_domain
-from linktally.schemas import DOMAIN_MONTH_SCHEMA, PARSED_LINK_COLUMNS, POST_COLUMNS
+from linktally.schemas import DOMAIN_MONTH_SCHEMA, LINK_MONTH_SCHEMA, PARSED_LINK_COLUMNS, POST_COLUMNS, QUARANTINE_SCHEMA
 from linktally.session import scratch_path
-from linktally.sources.exports import ranked, write_csv
+from linktally.sources.exports import ranked, read_export, read_positions, write_csv
 from linktally.sources.posts import read_bronze, read_posts, write_bronze
 from linktally.sources.tables import (
     read_by_month,
@@ -63,13 +63,19 @@ def _shares(spark, folder) -> DataFrame:
     return shares_from_posts(raw_posts(spark, folder))
 
 
-def _months(spark, folder) -> list[str]:
-    """Months with a link, read off the posts: no URL work is needed for that."""
-    return present_months(explode_links(clean_posts(raw_posts(spark, folder))))
+def _stored_link_months(spark, folder) -> tuple[DataFrame, list[str]]:
+    """Links by month as the whole job stores them, and its months."""
+    path = scratch_path(spark, "link-month")
+    write_by_month(platform_link_month(_shares(spark, folder)), path)
+    return read_by_month(spark, path, LINK_MONTH_SCHEMA), stored_months(spark, path)
 
 
 def _platform_links(spark, folder) -> DataFrame:
-    return platform_links_table(platform_link_month(_shares(spark, folder)), _months(spark, folder))
+    return platform_links_table(*_stored_link_months(spark, folder))
+
+
+def _links_total(spark, folder) -> DataFrame:
+    return platform_links_table(_stored_link_months(spark, folder)[0], [])
 
 
 def _page_urls(spark, folder) -> DataFrame:
@@ -130,7 +136,9 @@ def domains_total(spark, folder):
 
 
 def domains_by_month_wide(spark, folder):
-    wide = domains_table(domain_month(_shares(spark, folder)), _months(spark, folder))
+    path = scratch_path(spark, "domain-month")
+    write_by_month(domain_month(_shares(spark, folder)), path)
+    wide = domains_table(read_by_month(spark, path, DOMAIN_MONTH_SCHEMA), stored_months(spark, path))
     return ranked(wide, "sum_all_tweets_with_domain", "domain_id")
 
 
@@ -197,12 +205,12 @@ def link_kind(spark, folder):
 
 
 def video_link_table(spark, folder):
-    links = platform_links_table(platform_link_month(_shares(spark, folder)), [])
+    links = _links_total(spark, folder)
     return video_links(classify_links(links))
 
 
 def channel_link_table(spark, folder):
-    links = platform_links_table(platform_link_month(_shares(spark, folder)), [])
+    links = _links_total(spark, folder)
     return channel_links(classify_links(links))
 
 
@@ -216,18 +224,18 @@ def metadata_inner(spark, folder):
 
 
 def links_with_channel_query(spark, folder):
-    links = platform_links_table(platform_link_month(_shares(spark, folder)), [])
+    links = _links_total(spark, folder)
     return links_with_channel(classify_links(links), video_metadata(spark, folder))
 
 
 def channels(spark, folder):
-    classified = classify_links(_platform_links(spark, folder))
+    classified = write_links_by_kind(_platform_links(spark, folder), scratch_path(spark, "kinds"))
     rolled = channel_rollup(links_with_channel(classified, video_metadata(spark, folder)))
     return ranked(rolled, "sum_all_tweets_with_link", "channel_id")
 
 
 def channels_without_metadata(spark, folder):
-    links = platform_links_table(platform_link_month(_shares(spark, folder)), [])
+    links = _links_total(spark, folder)
     return channel_rollup(links_with_channel(classify_links(links)))
 
 
@@ -255,6 +263,40 @@ def csv_roundtrip(spark, folder):
     return domains_table(domain_month(shares_from_posts(read, cluster=True)), [])
 
 
+def csv_split(spark, folder):
+    """Posts through plain CSV files with line breaks in values, shared by many tasks; then the totals."""
+    path = scratch_path(spark, "posts")
+    note = F.repeat(F.concat(F.lit('said "'), F.col("id"), F.lit('",\n')), 40)
+    broken = F.replace(F.col("links"), F.lit("|"), F.lit("|\n"))
+    write_csv(raw_posts(spark, folder).select("id", note.alias("note"), broken.alias("links"), *POST_COLUMNS[1:4]), path)
+    read = read_posts(spark, path, "*.csv", split=True)
+    return domains_table(domain_month(shares_from_posts(read)), [])
+
+
+def quarantine(spark, folder):
+    """Raw rows that a job leaves out, with the reason; the others are counted."""
+    path = scratch_path(spark, "job")
+    order = F.col("o_orderkey")
+    fields = [order.cast("string"), F.col("o_orderdate").cast("string"), F.col("o_custkey").cast("string"), F.lit("0")]
+    link = F.concat(F.lit('"https://site'), order % 50, F.lit('.com/a,b"'))
+    row = F.concat_ws(",", *fields, link)
+    line = (
+        F.when(order % 41 == 1, F.concat_ws(",", *fields[:3]))
+        .when(order % 43 == 1, F.concat(row, F.lit(",more")))
+        .when(order % 47 == 1, F.concat_ws(",", fields[0], F.lit("soon"), *fields[2:], link))
+        .otherwise(row)
+    )
+    # raw lines under a header, by a writer that never finds anything to quote
+    lines = table(spark, folder, "orders").select(line.alias(",".join(POST_COLUMNS)))
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0002").csv(f"{path}/posts")
+    out = run_pipeline(spark, f"{path}/posts", f"{path}/out", pattern="*.csv", quarantine=True, split=True)
+    bad = read_by_month(spark, out.quarantine, QUARANTINE_SCHEMA)
+    is_file = F.col("source_file").rlike(r"/posts/part-[^/]*[.]csv$").alias("has_file")
+    good = read_shares(spark, out.shares).agg(F.count("*").alias("number"))
+    counted = good.select(F.lit("shared").alias("reason"), F.col("number").cast("string").alias("raw_row"), F.lit(True).alias("has_file"))
+    return bad.select("reason", "raw_row", is_file).unionByName(counted)
+
+
 def bronze_roundtrip(spark, folder):
     """Posts through a Parquet copy of the needed columns."""
     path = scratch_path(spark, "bronze")
@@ -295,10 +337,6 @@ def month_refresh(spark, folder):
     return read_by_month(spark, out.domain_month, DOMAIN_MONTH_SCHEMA)
 
 
-def _exported(spark, path) -> DataFrame:
-    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
-
-
 def _measures_as_numbers(df: DataFrame, texts) -> DataFrame:
     return df.select(*[F.col(c) if c in texts else F.col(c).cast("bigint").alias(c) for c in df.columns])
 
@@ -311,7 +349,7 @@ def pipeline_channels(spark, folder):
         spark, f"{path}/posts", f"{path}/out", video_metadata=video_metadata(spark, folder)
     )
     return _measures_as_numbers(
-        _exported(spark, out.channels), ("normalized_url", "link_for_scraping", "channel_id")
+        read_export(spark, out.channels), ("normalized_url", "link_for_scraping", "channel_id")
     )
 
 
@@ -320,7 +358,7 @@ def resume(spark, folder):
     path = scratch_path(spark, "resume")
     write_by_month(_shares(spark, folder), f"{path}/shares")
     out = run_pipeline(spark, None, f"{path}/out", shares_path=f"{path}/shares")
-    return _measures_as_numbers(_exported(spark, out.domains), ("domain_id", "domain_name"))
+    return _measures_as_numbers(read_export(spark, out.domains), ("domain_id", "domain_name"))
 
 
 def _suffix_hosts(spark, folder) -> DataFrame:
@@ -371,7 +409,7 @@ def parsed_links_job(spark, folder):
     parsed.write.option("compression", "gzip").parquet(f"{path}/links")
     raw_posts(spark, folder).write.option("compression", "snappy").parquet(f"{path}/raw")
     out = run_pipeline(spark, None, f"{path}/out", parsed_links=path, parsed_pattern="*.gz.parquet")
-    return _measures_as_numbers(_exported(spark, out.domains), ("domain_id", "domain_name"))
+    return _measures_as_numbers(read_export(spark, out.domains), ("domain_id", "domain_name"))
 
 
 def stored_months_query(spark, folder):
@@ -382,7 +420,7 @@ def stored_months_query(spark, folder):
 
 def links_by_kind(spark, folder):
     """Classified links stored by kind and read back."""
-    links = platform_links_table(platform_link_month(_shares(spark, folder)), [])
+    links = _links_total(spark, folder)
     return write_links_by_kind(links, scratch_path(spark, "kinds"))
 
 
@@ -390,10 +428,7 @@ def _export_order(report: DataFrame, measure: str, key: str) -> DataFrame:
     """Each key's place in the files of an export, read in order of their names."""
     path = scratch_path(report.sparkSession, "order")
     write_csv(ranked(report, measure, key), path)
-    rows = _exported(report.sparkSession, path).select(
-        key, F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")
-    )
-    return rows.select(key, F.row_number().over(Window.orderBy("file", "row")).cast("bigint").alias("place"))
+    return read_positions(report.sparkSession, path, "place").select(key, "place")
 
 
 def export_domains_order(spark, folder):
@@ -401,7 +436,7 @@ def export_domains_order(spark, folder):
 
 
 def export_links_order(spark, folder):
-    links = platform_links_table(platform_link_month(_shares(spark, folder)), [])
+    links = _links_total(spark, folder)
     return _export_order(links, "sum_all_tweets_with_link", "normalized_url")
 
 
@@ -444,6 +479,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rejected_rows": rejected_rows_query,
     "nameless_channel_links": nameless_channel_links,
     "csv_roundtrip": csv_roundtrip,
+    "csv_split": csv_split,
+    "quarantine": quarantine,
     "bronze_roundtrip": bronze_roundtrip,
     "parsed_links_read": parsed_links_read,
     "metadata_roundtrip": metadata_roundtrip,

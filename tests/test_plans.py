@@ -14,6 +14,7 @@ from linktally.operators.enrich import (
 from linktally.operators.links import clean_posts
 from linktally.plans.reports import domain_month, domains_table, platform_link_month
 from linktally.plans.shares import shares_from_posts, with_url_and_domain
+from linktally.sources.exports import read_positions, write_csv
 from linktally.sources.posts import read_posts
 from linktally.sources.tables import read_shares, write_by_month
 from suite.inputs import page_links, raw_posts, video_metadata
@@ -68,8 +69,10 @@ def test_counted_value_is_in_the_shuffle_key(stored):
 
 
 def test_total_shuffles_only_counts(stored):
-    plan = plan_of(domains_table(domain_month(stored), ["1996-01", "1996-02"]))
-    assert len(re.findall(r"hashpartitioning\(", plan)) == 3
+    plan = final_plan(domains_table(domain_month(stored), ["1996-01", "1996-02"]))
+    assert plan.count("FileScan") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(", plan)) == 4  # the pivot adds up by key and month first
+    assert "Join" not in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
@@ -94,6 +97,51 @@ def test_no_python_in_plans(spark, name):
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
 
 
+def final_plan(df):
+    """The plan as it ran, without the one it started from."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().partition("\n+- == Initial Plan ==")[0]
+
+
+def test_counts_and_carried_link_share_one_scan_and_one_shuffle_of_rows(stored):
+    plan = final_plan(platform_link_month(stored))
+    assert plan.count("FileScan parquet") - plan.count("ReusedExchange") <= 1 and plan.count("ReusedExchange") == 1
+    of_rows = [e for e in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan) if "_value" in e]
+    assert len({re.sub(r"#\d+", "", e) for e in of_rows}) == 1 and "_tag" in of_rows[0]
+
+
+@pytest.mark.parametrize("name", ["channels", "platform_links_wide", "domains_by_month_wide"])
+def test_no_sorting_above_sums_and_no_test_per_month(spark, name):
+    plan = final_plan(QUERIES[name](spark, SMALL))
+    assert all("sum(" not in line for line in plan.splitlines() if "SortAggregate" in line)
+    assert "CASE WHEN (month" not in plan and ("pivotfirst" in plan) == (name != "channels")
+
+
+def test_positions_bring_a_row_per_file_together(spark, tmp_path):
+    rows = spark.range(0, 5000, 1, 7).selectExpr("id", "CAST(id % 9 AS STRING) || '\n' AS text").orderBy("id")
+    write_csv(rows, str(tmp_path / "out"))
+    placed = read_positions(spark, str(tmp_path / "out"))
+    plan = final_plan(placed)
+    single = plan.split("Exchange SinglePartition")
+    assert len(single) == 2 and "HashAggregate" in single[1].splitlines()[1]
+    assert placed.where("position <> CAST(id AS INT) + 1").isEmpty() and placed.count() == 5000
+
+
+def test_large_plain_file_is_many_tasks(spark, tmp_path):
+    rows = "".join(f'{i},2022-01-01,7,0,"https://a.com/{i}\n"\n' for i in range(3000))
+    write(tmp_path / "a.csv", f"{HEADER}\n{rows}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        posts = read_posts(spark, str(tmp_path), "*.csv", split=True)
+        assert posts.rdd.getNumPartitions() >= 10 and posts.count() == 3000
+        assert read_posts(spark, str(tmp_path), "*.csv").rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
 def test_hot_video_is_split_in_the_metadata_join(spark):
     """A third of the links lead to one video; adaptive execution splits them."""
     settings = {
