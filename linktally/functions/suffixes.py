@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import product
 from string import ascii_lowercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EXACT, WILDCARD, EXCEPTION = 1, 2, 4
+#: Marks two labels below which there are rules of more labels.
+DEEPER = 8
 
 # The published list has about 10,000 rules. The table is broadcast, so more than this raises.
 MOST_RULES = 200_000
@@ -55,15 +58,16 @@ SECOND_LEVEL = {
     "web": "id tr ve za",
 }
 HOSTING = ("github.io", "gitlab.io", "blogspot.com", "herokuapp.com", "netlify.app", "vercel.app")
-SPECIAL = ("*.ck", "!www.ck")
+SPECIAL = ("*.ck", "!www.ck", "公司.cn", "网络.cn", "網絡.cn", "公司.hk", "個人.hk", "組織.hk")
 
 
 @dataclass(frozen=True)
 class SuffixRules:
-    """Suffix rules ready to join: ``(suffix, flags)`` with one row per suffix.
+    """Suffix rules ready to join, with one row per last label.
 
-    ``depth`` is the label count of the longest entry, and so the number of
-    lookups a host needs. The row count has been checked against ``MOST_RULES``.
+    A row has the ``flags`` of that label alone, and maps to flags: ``pairs`` from
+    suffixes of two labels, ``deeper`` from longer ones. ``depth`` is the label count
+    of the longest. The number of rules has been checked against ``MOST_RULES``.
     """
 
     frame: DataFrame
@@ -83,12 +87,26 @@ def _entry(rule: str) -> tuple[str, int]:
     return rule, EXACT
 
 
+def _spellings(label: str) -> list[str]:
+    """A label as it is, and in the other of its two spellings: letters, or ``xn--`` and ASCII."""
+    try:
+        if not label.isascii():
+            return [label, "xn--" + label.encode("punycode").decode("ascii")]
+        if label.startswith("xn--"):
+            return [label, label[4:].encode("ascii").decode("punycode")]
+    except UnicodeError:
+        pass
+    return [label]
+
+
 def rule_flags(rules) -> dict[str, int]:
-    """Suffix -> flags for rules in the notation of the public list."""
+    """Suffix -> flags for rules in the notation of the public list, in every spelling of their labels."""
     flags: dict[str, int] = {}
     for rule in rules:
-        suffix, flag = _entry(rule.lower())
-        flags[suffix] = flags.get(suffix, 0) | flag
+        written, flag = _entry(rule.lower())
+        for labels in product(*[_spellings(label) for label in written.split(".")]):
+            suffix = ".".join(labels)
+            flags[suffix] = flags.get(suffix, 0) | flag
     return flags
 
 
@@ -103,45 +121,50 @@ def default_rules() -> list[str]:
     return [*dict.fromkeys([*GENERIC, *countries, *general, *seconds, *HOSTING, *SPECIAL])]
 
 
+def _rows(flags: dict[str, int]) -> list[str]:
+    """A line of text per last label: the label, its flags, and those of longer suffixes."""
+    pairs: dict[str, dict[str, int]] = {}
+    deeper: dict[str, dict[str, int]] = {}
+    for suffix, flag in flags.items():
+        labels = suffix.split(".")
+        own = pairs.setdefault(labels[-1], {})
+        two = ".".join(labels[-2:])
+        if len(labels) == 2:
+            own[two] = own.get(two, 0) | flag
+        elif len(labels) > 2:
+            own[two] = own.get(two, 0) | DEEPER
+            deeper.setdefault(labels[-1], {})[suffix] = flag
+
+    def listed(found: dict[str, int]) -> str:
+        return ";".join(f"{suffix}={flag}" for suffix, flag in found.items())
+
+    return [f"{last}:{flags.get(last, 0)}:{listed(own)}:{listed(deeper.get(last, {}))}" for last, own in pairs.items()]
+
+
 def suffix_rules(spark: SparkSession, rules=None, extra=()) -> SuffixRules:
     """Rules from a Python list (the built-in one by default) plus ``extra`` ones."""
     flags = rule_flags([*(default_rules() if rules is None else rules), *extra])
     _checked(len(flags))
-    text = " ".join(f"{suffix}:{flag}" for suffix, flag in flags.items())
+    entry = F.split("entry", ":")
     frame = (
         spark.range(0, 1, 1, 1)
-        .select(F.explode(F.split(F.lit(text), " ")).alias("entry"))
+        .select(F.explode(F.split(F.lit(" ".join(_rows(flags))), " ")).alias("entry"))
         .select(
-            F.substring_index("entry", ":", 1).alias("suffix"),
-            F.substring_index("entry", ":", -1).cast("int").alias("flags"),
+            entry[0].alias("last"),
+            entry[1].cast("int").alias("flags"),
+            F.str_to_map(entry[2], F.lit(";"), F.lit("=")).alias("pairs"),
+            F.str_to_map(entry[3], F.lit(";"), F.lit("=")).alias("deeper"),
         )
     )
-    depth = max((suffix.count(".") + 1 for suffix in flags), default=1)
-    return SuffixRules(frame, depth)
+    return SuffixRules(frame, max((suffix.count(".") + 1 for suffix in flags), default=1))
 
 
 def read_suffix_rules(spark: SparkSession, path: str) -> SuffixRules:
     """Rules from a file in the notation of the public list (``//`` comments)."""
     rule = F.lower(F.regexp_extract("value", r"^\s*(\S+)", 1))
-    frame = (
-        spark.read.text(path)
-        .select(rule.alias("rule"))
-        .where((F.col("rule") != "") & ~F.col("rule").startswith("//"))
-        .select(
-            F.regexp_replace("rule", r"^(?:!|\*[.])", "").alias("suffix"),
-            F.when(F.col("rule").startswith("!"), EXCEPTION)
-            .when(F.col("rule").startswith("*."), WILDCARD)
-            .otherwise(EXACT)
-            .alias("flag"),
-        )
-        .groupBy("suffix")
-        .agg(F.bit_or("flag").alias("flags"))
-    )
-    size = frame.agg(
-        F.count("*").alias("rows"),
-        F.max(F.size(F.split("suffix", "[.]"))).alias("depth"),
-    ).first()
-    if not size["rows"]:
+    lines = spark.read.text(path).select(rule.alias("rule")).where((F.col("rule") != "") & ~F.col("rule").startswith("//"))
+    rules = [row["rule"] for row in lines.distinct().limit(MOST_RULES + 1).collect()]
+    if not rules:
         raise ValueError(f"no suffix rule in {path}")
-    _checked(size["rows"])
-    return SuffixRules(frame, size["depth"])
+    _checked(len(rules))
+    return suffix_rules(spark, rules)

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linktally.functions.suffixes import EXACT, EXCEPTION, WILDCARD, SuffixRules
+from linktally.functions.settle import settle
+from linktally.functions.suffixes import DEEPER, EXACT, EXCEPTION, WILDCARD, SuffixRules
+
+# The other full stops that a host of letters may be written with.
+FULL_STOPS = "\u3002\uff0e\uff61"
 
 
 def attribute_domain(
@@ -13,23 +17,40 @@ def attribute_domain(
 ) -> DataFrame:
     """Add the registered domain of ``host``: its longest suffix and one label.
 
-    Each possible suffix length is one lookup in the same small table, whose size
-    was checked when it was made, so rows are neither multiplied nor shuffled.
+    One lookup by the host's last label, in a small table whose size was checked when
+    it was made, brings all rules that can hold for it: rows are neither
+    multiplied nor shuffled, however many labels rules have. Suffixes of three labels or
+    more are looked for only below two labels that have such rules.
     Under no rule the last label is the suffix, as the public list prescribes. One
     dot at the end of a host is left out. The result is null for an address, a
-    single label or a bare suffix.
+    single label or a bare suffix. Rules hold for both spellings of a label, letters and ``xn--``;
+    the domain is spelled as the host is.
     """
     keep = df.columns
     given, host = host, "_named_host"
-    df = df.withColumn(host, F.regexp_replace(given, r"[.]$", ""))
+    dotted = F.translate(F.col(given), FULL_STOPS, "." * len(FULL_STOPS))
+    df = df.withColumn(host, F.regexp_replace(dotted, r"[.]$", ""))
     dots = F.length(host) - F.length(F.replace(F.col(host), F.lit("."), F.lit("")))
-    looked_up = df.withColumn("_labels", dots + 1)
-    for size in range(1, rules.depth + 1):
-        candidate = F.when(F.col("_labels") >= size, F.substring_index(host, ".", -size))
-        entries = rules.frame.select(
-            F.col("suffix").alias(f"_suffix{size}"), F.col("flags").alias(f"_flags{size}")
-        )
-        looked_up = looked_up.join(F.broadcast(entries), candidate == F.col(f"_suffix{size}"), "left")
+    entries = rules.frame.select(
+        F.col("last").alias("_last"), F.col("flags").alias("_flags1"), F.col("pairs").alias("_pairs"), F.col("deeper").alias("_deeper")
+    )
+    joined = df.withColumn("_labels", dots + 1).join(
+        F.broadcast(entries), F.substring_index(host, ".", -1) == F.col("_last"), "left"
+    )
+
+    def looked_up(table, size):
+        suffix = F.when(F.col("_labels") >= size, F.substring_index(host, ".", -size))
+        return F.try_element_at(table, suffix).cast("int").alias(f"_flags{size}")
+
+    flags = [f"_flags{size}" for size in range(2, rules.depth + 1)]
+    found_two = joined
+    if rules.depth > 1:
+        found_two = settle(joined.select("*", looked_up("_pairs", 2)), "_flags2")
+    if rules.depth > 2:
+        below = F.when(F.col("_flags2").bitwiseAND(DEEPER) != 0, F.col("_deeper"))
+        longer = [looked_up(below, size) for size in range(3, rules.depth + 1)]
+        found_two = settle(found_two.select("*", *longer), *flags[1:])
+    looked_up_all = found_two
 
     def has(size, flag):
         return F.col(f"_flags{size}").bitwiseAND(flag) != 0
@@ -49,6 +70,6 @@ def attribute_domain(
     # the prevailing rule; an address ends in digits or a bracket
     plain = (F.col("_labels") > 1) & ~F.col(host).rlike(r"(?:^|[.])[0-9]*$|[\[\]:]")
     domain = domain.when(plain, F.substring_index(host, ".", -2))
-    named = looked_up.withColumn("_domain", domain)
+    named = looked_up_all.withColumn("_domain", domain)
     complete = F.when(~F.col("_domain").startswith("."), F.col("_domain"))
     return named.select(*keep, complete.alias(output))

@@ -255,11 +255,13 @@ FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2"""
 
 # The domain that each host of ``suffix_links`` belongs to, written out.
 SUFFIX_DOMAINS = """
-SELECT page_id, CASE page_id % 13
+SELECT page_id, CASE page_id % 17
   WHEN 0 THEN 'site' || n || '.com' WHEN 1 THEN 'site' || n || '.co.uk' WHEN 2 THEN 'site' || n || '.bar'
   WHEN 3 THEN 'foo' || n || '.google' WHEN 4 THEN 'site' || n || '.com.hk' WHEN 5 THEN 'b' || n || '.go.jp'
   WHEN 6 THEN 'user' || n || '.github.io' WHEN 7 THEN 'example' || n || '.bzh' WHEN 9 THEN 'site' || n || '.рф'
-  WHEN 10 THEN 'shop' || n || '.foo.ck' WHEN 11 THEN 'www.ck' WHEN 12 THEN 'site' || n || '.org' END AS domain_name
+  WHEN 10 THEN 'shop' || n || '.foo.ck' WHEN 11 THEN 'www.ck' WHEN 12 THEN 'site' || n || '.org'
+  WHEN 13 THEN 'site' || n || '.xn--p1ai' WHEN 14 THEN 'site' || n || '.公司.cn' WHEN 15 THEN 'site' || n || '.xn--55qx5d.cn'
+  WHEN 16 THEN 'été' || n || '.com' END AS domain_name
 FROM (SELECT page_id, page_id % 40 AS n FROM pages)"""
 # The same under the rules of the file: bar and *.hk, but neither com.hk nor github.io.
 FILE_DOMAINS = SUFFIX_DOMAINS.replace("WHEN 1 THEN 'site' || n || '.co.uk'", "WHEN 1 THEN 'co.uk'").replace("WHEN 5 THEN 'b' || n || '.go.jp'", "WHEN 5 THEN 'go.jp'").replace(

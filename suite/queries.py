@@ -367,7 +367,8 @@ def _suffix_hosts(spark, folder) -> DataFrame:
     shapes = [
         ("www.site", ".com"), ("a.site", ".co.uk"), ("site", ".bar"), ("x.foo", ".google"), ("site", ".com.hk"),
         ("a.b", ".go.jp"), ("user", ".github.io"), ("a.example", ".bzh"), ("10.0.0.", ""), ("a.site", ".рф"),
-        ("x.shop", ".foo.ck"), ("x", ".www.ck"), ("site", ".org."),
+        ("x.shop", ".foo.ck"), ("x", ".www.ck"), ("site", ".org."), ("a.site", ".XN--P1AI"), ("a.site", ".公司.cn"),
+        ("A.Site", ".xn--55qx5d.cn"), ("a.ÉTÉ", "。com"),
     ]
     host = F.lit(None)
     for rest, (before, after) in enumerate(shapes):
@@ -382,7 +383,7 @@ def url_domain_suffixes(spark, folder):
 def suffix_file(spark, folder):
     """Domains by the rules of a file."""
     path = scratch_path(spark, "suffixes")
-    lines = ["// rules", "com", "bar", "hk", "*.hk", "ck", "!www.ck", "org // more"]
+    lines = ["// rules", "com", "bar", "hk", "*.hk", "ck", "!www.ck", "org // more", "公司.cn"]
     spark.createDataFrame([(line,) for line in lines], "value string").write.text(path)
     rules = read_suffix_rules(spark, path)
     return with_url_and_domain(_suffix_hosts(spark, folder), rules).select("page_id", "domain_name")

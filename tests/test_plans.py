@@ -11,6 +11,7 @@ from linktally.operators.enrich import (
     classify_links,
     links_with_channel,
 )
+from linktally.functions.suffixes import suffix_rules
 from linktally.operators.links import clean_posts
 from linktally.plans.reports import domain_month, domains_table, platform_link_month
 from linktally.plans.shares import shares_from_posts, with_url_and_domain
@@ -79,7 +80,10 @@ def test_total_shuffles_only_counts(stored):
 def test_url_work_is_one_generated_stage_without_shuffle(spark):
     plan = plan_of(with_url_and_domain(page_links(spark, SMALL)))
     assert "hashpartitioning" not in plan and "Python" not in plan
-    assert plan.count("BroadcastHashJoin LeftOuter") >= 2
+    # one lookup, in the tree and in its details
+    assert plan.count("BroadcastHashJoin LeftOuter") == 2
+    deep = suffix_rules(spark, extra=["a.b.c.d.com", "*.e.b.c.d.com"])
+    assert plan_of(with_url_and_domain(page_links(spark, SMALL), deep)).count("BroadcastHashJoin LeftOuter") == 2
 
 
 def test_filters_do_not_repeat_the_url_rules(spark):

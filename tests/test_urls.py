@@ -69,9 +69,11 @@ def test_suffix_file(spark, tmp_path):
     path = tmp_path / "suffixes.dat"
     path.write_text("// comment\n\ncom\nCO.uk trailing words\nuk\n*.ck\n!www.ck\nck\n", encoding="utf8")
     rules = read_suffix_rules(spark, str(path))
-    assert {row["suffix"]: row["flags"] for row in rules.frame.collect()} == rule_flags(
-        ["com", "co.uk", "uk", "*.ck", "!www.ck", "ck"]
-    )
+    listed = ["com", "co.uk", "uk", "*.ck", "!www.ck", "ck"]
+    assert rule_flags(listed) == {"com": 1, "co.uk": 1, "uk": 1, "ck": 3, "www.ck": 4}
+    found = {row["last"]: row.asDict() for row in rules.frame.collect()}
+    assert found == {row["last"]: row.asDict() for row in suffix_rules(spark, listed).frame.collect()}
+    assert found["ck"]["flags"] == 3 and found["ck"]["pairs"] == {"www.ck": "4"}
     assert rules.depth == 2
     assert parsed(spark, ["http://a.b.co.uk/"], rules)["http://a.b.co.uk/"] == ("a.b.co.uk", "b.co.uk")
     (tmp_path / "empty.dat").write_text("// nothing\n", encoding="utf8")
@@ -87,6 +89,28 @@ def test_too_many_rules_raise(spark, tmp_path, monkeypatch):
             build()
 
 
+@pytest.mark.parametrize(
+    "host, domain",
+    [
+        ("a.site.公司.cn", "site.公司.cn"),
+        ("a.site.xn--55qx5d.cn", "site.xn--55qx5d.cn"),
+        ("a.site.рф", "site.рф"),
+        ("a.site.xn--p1ai", "site.xn--p1ai"),
+        ("a.site.個人.香港", "site.個人.香港"),
+        ("a.site.xn--gmqw5a.香港", "site.xn--gmqw5a.香港"),
+        ("a.site.xn--gmqw5a.xn--j6w193g", "site.xn--gmqw5a.xn--j6w193g"),
+        ("a。site．com", "site.com"),
+        ("a.site.xn--", "site.xn--"),
+        ("a.b.c.deep.er.com", "b.c.deep.er.com"),
+        ("deep.er.com", "er.com"),
+    ],
+)
+def test_both_spellings_of_a_label(spark, host, domain):
+    rules = suffix_rules(spark, ["com", "公司.cn", "xn--p1ai", "個人.香港", "香港", "xn--\u00e9", "c.deep.er.com"])
+    df = spark.createDataFrame([(host,)], "host string")
+    assert attribute_domain(df, rules).first()["domain_name"] == domain
+
+
 @pytest.mark.parametrize("host, domain", [("example.bar", "example.bar"), ("a.x.com.hk", "x.com.hk"), ("a.b.go.jp", "b.go.jp")])
 def test_default_rules(spark, host, domain):
     df = spark.createDataFrame([(host,)], "host string")
