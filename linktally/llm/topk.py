@@ -44,16 +44,17 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 class SortedLists:
     """The sorted per-dimension lists of one block."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray) -> None:
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, keys: np.ndarray | None = None) -> None:
         self.ids = ids
         self.rows = rows
+        self.keys = ids if keys is None else keys  # tell rows apart that share an id
         self.order = np.argsort(rows, axis=0, kind="stable").T.copy()  # dimension x rank, ascending
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best ``k`` rows but the query's own, ties to smaller ids."""
+        """Ids and scores of the best ``k`` rows but the one whose key is ``own``, ties to smaller ids."""
         size = len(self.ids)
         used = np.flatnonzero(query)
-        seen = self.ids == own
+        seen = self.keys == own
         best_ids, best = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=self.rows.dtype)
         done, depth = 0, min(FIRST_DEPTH, size)
         if not len(used):
@@ -95,12 +96,14 @@ def _searched(k: int):
                 block, asked = block.astype(np.float64), asked.astype(np.float64)
             elif most >= 2**63:
                 block, asked = block.astype(object), asked.astype(object)
-            lists = SortedLists(rows["vec_id"].to_numpy(), block)
-            for query_id, query in zip(queries["vec_id"], asked):
-                ids, scores = lists.search(query, query_id, k)
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": [int(s) for s in scores]}))
+            lists = SortedLists(rows["vec_id"].to_numpy(), block, rows["row"].to_numpy())
+            for own, query_id, query in zip(queries["row"], queries["vec_id"], asked):
+                ids, scores = lists.search(query, own, k)
+                out.append(
+                    pd.DataFrame({"query": own, "query_id": query_id, "vec_id": ids, "score": [int(s) for s in scores]})
+                )
         if not out:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+            return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []}, dtype="int64")
         return pd.concat(out, ignore_index=True)
 
     return run
@@ -122,28 +125,33 @@ def top_k(
     to the smaller id. A query's own row is no candidate. Rows without an id, with
     a null vector or with a null or non-finite component take no part. Vectors of
     unequal length count as filled up with zeros; an empty one scores 0. Rows that
-    repeat an id are one row, the one with the least vector. With fewer than ``k``
+    repeat an id are rows of their own: each is a candidate, for the others too, and
+    each query row has its own ranking. With fewer than ``k``
     candidates all are given; an empty table gives no rows. A score that a long
     cannot hold raises. Extra columns are not read.
     """
     reachable(vectors.sparkSession)
     clean = cut(
         vectors.where(F.col(quoted(id_col)).isNotNull() & _usable(vector_col))
-        .groupBy(F.col(quoted(id_col)).cast("long").alias("vec_id"), is_query.alias("asked"))
-        .agg(F.min(quantised(vector_col, scale)).alias("vector")),
+        .select(
+            F.col(quoted(id_col)).cast("long").alias("vec_id"), is_query.alias("asked"), quantised(vector_col, scale).alias("vector")
+        )
+        .withColumn("row", F.monotonically_increasing_id()),
         "topk-vectors",
     )
     counts = clean.agg(F.count("*").alias("n"), F.count_if("asked").alias("q")).first()
     row_blocks = max(math.ceil(counts["n"] / block_rows), 1)
     query_blocks = max(math.ceil(counts["q"] / block_queries), 1)
-    spread = F.xxhash64("vec_id")
+    spread = F.xxhash64("row")
     rows = clean.select(
+        "row",
         "vec_id",
         "vector",
         F.pmod(spread, F.lit(row_blocks)).alias("row_block"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1))).alias("query_block"),
     )
     queries = clean.where("asked").select(
+        "row",
         "vec_id",
         "vector",
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1))).alias("row_block"),
@@ -153,9 +161,9 @@ def top_k(
     found = (
         rows.groupBy(*keys)
         .cogroup(queries.groupBy(*keys))
-        .applyInPandas(_searched(k), "query_id long, vec_id long, score long")
+        .applyInPandas(_searched(k), "query long, query_id long, vec_id long, score long")
     )
-    best_first = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best_first = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
@@ -167,14 +175,14 @@ def op7_topk(spark, sf_dir: str) -> DataFrame:
 
 OP7_SQL = """
 WITH v AS (
-  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), p AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.r <> q.r
 ), r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p
+  SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

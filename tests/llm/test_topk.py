@@ -12,26 +12,35 @@ SCHEMA = "vec_id long, embedding array<float>, score string"
 
 
 def brute(rows, k):
-    clean = {}
+    clean = []
     for vec_id, vector, _ in rows:
         if vec_id is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
             continue
-        whole = [math.floor(256 * float(np.float32(x))) for x in vector]
-        clean[vec_id] = min(clean.get(vec_id, whole), whole)
+        clean.append((vec_id, [math.floor(256 * float(np.float32(x))) for x in vector]))
     out = []
-    for q in clean:
+    for at, (q, query) in enumerate(clean):
         if q % 3 == 0:
-            scores = [(-sum(a * b for a, b in zip(clean[q], v)), i) for i, v in clean.items() if i != q]
+            scores = [(-sum(a * b for a, b in zip(query, v)), i) for other, (i, v) in enumerate(clean) if other != at]
             out += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:k], 1)]
     return sorted(out)
 
 
+def test_rows_that_repeat_an_id_are_candidates(spark):
+    rows = [(50, [1.0], None), (1, [5.0], None), (1, [9.0], None), (2, [4.0], None), (50, [2.0], None), (50, [2.0], None)]
+    out = top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 50, k=4).collect()
+    best = {tuple(r) for r in out if r["rank"] == 1}
+    assert best == {(50, 1, 1, 9 * 256 * 256), (50, 1, 1, 2 * 9 * 256 * 256)}
+    assert len(out) == 12
+    assert [r["vec_id"] for r in sorted(out, key=lambda r: (r["score"], r["rank"]))].count(1) == 6
+
+
 def test_matches_brute_force(spark):
     random.seed(4)
     rows = [(i, [random.choice([0.0, 0.5, -0.25, random.uniform(-1, 1)]) for _ in range(6)], "x") for i in range(200)]
     rows += [(i, rows[i - 200][1], "tie") for i in range(200, 240)]
     rows += [(None, [1.0] * 6, "x"), (300, None, "x"), (301, [1.0, None], "x"), (302, [math.nan] * 6, "x")]
     rows += [(303, [math.inf] * 6, "x"), (306, [], "x"), (309, [0.0] * 6, "x"), (312, [1.0], "x"), (3, [9.0] * 6, "again")]
+    rows += [(12, rows[12][1], "same"), (12, rows[12][1], "same"), (13, [0.5] * 6, "again")]
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     for block in (16, 1000):
         out = top_k(df, F.col("vec_id") % 3 == 0, k=4, block_rows=block, block_queries=32)
