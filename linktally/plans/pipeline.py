@@ -38,12 +38,16 @@ from linktally.sources.tables import (
 
 @dataclass(frozen=True)
 class Outputs:
-    """Where a run puts its tables (Parquet by month) and its exports (CSV)."""
+    """Where a run puts its tables (Parquet by month) and its exports (CSV).
+
+    With ``run`` these are the run's own folders below those of all runs.
+    """
 
     root: str
+    run: str = ""
 
     def _at(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
+        return f"{self.root.rstrip('/')}/{name}" + (f"/run={self.run}" if self.run else "")
 
     @property
     def posts(self) -> str:
@@ -147,16 +151,22 @@ def write_reports(
     months: Sequence[str],
     video_metadata: DataFrame | None = None,
     platform: Platform = YOUTUBE,
+    rollups: tuple[DataFrame, DataFrame] | None = None,
 ) -> None:
-    """Export every report from the stored rollups.
+    """Export every report from the stored rollups, those of ``out`` unless others are given.
 
     Links are summed over months once and stored by kind; the link exports and
     the channel report each read the kinds they need.
     """
-    domains = domains_table(read_by_month(spark, out.domain_month, DOMAIN_MONTH_SCHEMA), months)
+    if rollups is None:
+        rollups = (
+            read_by_month(spark, out.domain_month, DOMAIN_MONTH_SCHEMA),
+            read_by_month(spark, out.link_month, LINK_MONTH_SCHEMA),
+        )
+    domains = domains_table(rollups[0], months)
     write_csv(ranked(domains, "sum_all_tweets_with_domain", "domain_id"), out.domains)
 
-    links = platform_links_table(read_by_month(spark, out.link_month, LINK_MONTH_SCHEMA), months)
+    links = platform_links_table(rollups[1], months)
     classified = write_links_by_kind(links, out.links_by_kind, platform)
     channels = channel_rollup(links_with_channel(classified, video_metadata))
     for report, key, path in (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,25 +83,25 @@ def refresh_by_month(
             _drop_month(spark, path, month)
 
 
-def _folder(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """Hadoop's file system of a path, and the path."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def _month_files(spark: SparkSession, path: str, month: str) -> set[str]:
-    files, place = _folder(spark, f"{path}/month={month}")
+    files, place = file_system(spark, f"{path}/month={month}")
     return {status.getPath().getName() for status in files.listStatus(place)} if files.exists(place) else set()
 
 
 def _drop_month(spark: SparkSession, path: str, month: str) -> None:
-    files, place = _folder(spark, f"{path}/month={month}")
+    files, place = file_system(spark, f"{path}/month={month}")
     files.delete(place, True)
 
 
 def stored_months(spark: SparkSession, path: str) -> list[str]:
     """The months of a table, in order, from the names of its partitions: no row is read."""
-    files, place = _folder(spark, path)
+    files, place = file_system(spark, path)
     names = [status.getPath().getName() for status in files.listStatus(place)]
     months = [name.removeprefix("month=") for name in names if name.startswith("month=")]
     return sorted(month for month in months if month != "__HIVE_DEFAULT_PARTITION__")
@@ -164,8 +164,37 @@ def read_metadata(spark: SparkSession, path: str, pattern: str = "**/*.csv") ->
     return read_csv_by_name(spark, files, ("video_id", "channel_id"))
 
 
-def read_metadata_records(spark: SparkSession, path: str, pattern: str = "**/*.csv") -> DataFrame:
-    """Extended metadata records from CSV, read as text and cast by name."""
-    files = list_files(spark, path, pattern)
-    rows = read_csv_by_name(spark, files, METADATA_FIELDS)
-    return rows.select(*[F.col(name).cast(metadata_type(name)).alias(name) for name in METADATA_FIELDS])
+def _record_texts(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    return read_csv_by_name(spark, list_files(spark, path, pattern), METADATA_FIELDS)
+
+
+def _typed(name: str, strict: bool = False) -> Column:
+    """A field of a record in its type; spaces around a number or a time do not matter."""
+    kind = metadata_type(name)
+    text = F.col(name)
+    if isinstance(kind, T.StringType):
+        return text
+    return text.cast(kind) if strict else F.trim(text).try_cast(kind)
+
+
+def read_metadata_records(
+    spark: SparkSession, path: str, pattern: str = "**/*.csv", strict: bool = False
+) -> DataFrame:
+    """Extended metadata records from CSV, read as text and cast by name.
+
+    A value that is not of its field's type becomes null, and :func:`bad_record_values`
+    counts such values; with ``strict`` it raises.
+    """
+    rows = _record_texts(spark, path, pattern)
+    return rows.select(*[_typed(name, strict).alias(name) for name in METADATA_FIELDS])
+
+
+def bad_record_values(spark: SparkSession, path: str, pattern: str = "**/*.csv") -> DataFrame:
+    """One row per field with a type: how many values there are, and how many are not of that type."""
+    fields = [name for name in METADATA_FIELDS if not isinstance(metadata_type(name), T.StringType)]
+    counts = []
+    for name in fields:
+        given = F.col(name).isNotNull() & (F.trim(name) != "")
+        bad = F.count_if(given & _typed(name).isNull())
+        counts.append(F.struct(F.lit(name).alias("field"), F.count_if(given).alias("nb_values"), bad.alias("nb_bad")))
+    return _record_texts(spark, path, pattern).agg(F.array(*counts).alias("fields")).select(F.inline("fields"))

@@ -340,8 +340,23 @@ UNION ALL SELECT 'shared', CAST(count(*) AS VARCHAR), true FROM t WHERE k % 41 <
     "bronze_roundtrip": LINK_MONTH_SQL,
     "parsed_links_read": f"{SHARES} SELECT * FROM shares",
     "metadata_roundtrip": f"WITH {METADATA} SELECT video_id, channel_id FROM video_metadata",
+    "records_roundtrip": f"""WITH {RECORDS},
+v AS (SELECT *, CAST(substr(video_title, 7) AS BIGINT) AS k FROM video_records)
+SELECT video_id, channel_id, video_title, CASE WHEN k % 7 <> 2 THEN "video_viewCount" END AS "video_viewCount",
+       CAST(NULL AS VARCHAR) AS channel_title, CAST(NULL AS BIGINT) AS "channel_videoCount", {_METADATA_NULLS} FROM v
+UNION ALL
+SELECT NULL, channel_id, NULL, NULL, channel_title, "channel_videoCount", {_METADATA_NULLS} FROM channel_records""",
+    "bad_records": f"""WITH {RECORDS},
+v AS (SELECT CAST(substr(video_title, 7) AS BIGINT) AS k FROM video_records),
+f(field) AS (VALUES ('channel_publishedAt'), ('channel_subscriberCount'), ('channel_videoCount'), ('channel_viewCount'),
+  ('video_commentCount'), ('video_favoriteCount'), ('video_likeCount'), ('video_publishedAt'), ('video_viewCount'))
+SELECT field, CASE field WHEN 'video_viewCount' THEN (SELECT count(*) FROM v)
+                         WHEN 'channel_videoCount' THEN (SELECT count(*) FROM channel_records) ELSE 0 END AS nb_values,
+       CASE field WHEN 'video_viewCount' THEN (SELECT count(*) FROM v WHERE k % 7 = 2) ELSE 0 END AS nb_bad FROM f""",
     "shares_stored": f"{SHARES} SELECT * FROM shares WHERE month = '{ONE_MONTH}'",
     "month_refresh": DOMAIN_MONTH_SQL,
+    "versioned_refresh": DOMAIN_MONTH_SQL,
+    "month_append": LINK_MONTH_SQL,
     "pipeline_channels": CHANNELS_SQL,
     "resume": DOMAIN_MONTH + _domains(MONTH_SUMS),
     "url_domain_suffixes": SUFFIX_DOMAINS,

@@ -22,21 +22,26 @@ from linktally.operators.enrich import (
 )
 from linktally.operators.links import clean_posts, explode_links
 from linktally.operators.rollup import RollupSpec, merge_months, monthly_rollup
+from linktally.plans.append import append_rollup
 from linktally.plans.pipeline import Outputs, run_pipeline, write_links_by_kind, write_rollups
 from linktally.plans.reports import (
     domain_month,
     domains_table,
     platform_link_month,
     platform_links_table,
+    platform_spec,
 )
 from linktally.plans.shares import shares_from_posts, with_url_and_domain
+from linktally.plans.versions import read_version, run_version
 from linktally.schemas import DOMAIN_MONTH_SCHEMA, LINK_MONTH_SCHEMA, PARSED_LINK_COLUMNS, POST_COLUMNS, QUARANTINE_SCHEMA
 from linktally.session import scratch_path
 from linktally.sources.exports import ranked, read_export, read_positions, write_csv
 from linktally.sources.posts import read_bronze, read_posts, write_bronze
 from linktally.sources.tables import (
+    bad_record_values,
     read_by_month,
     read_metadata,
+    read_metadata_records,
     read_parsed_links,
     read_shares,
     stored_months,
@@ -320,6 +325,25 @@ def metadata_roundtrip(spark, folder):
     return read_metadata(spark, path)
 
 
+def _records_file(spark, folder) -> str:
+    """Extended records as CSV; some counts are words, some have blanks around them."""
+    path = scratch_path(spark, "records")
+    number = F.regexp_extract("video_title", r"([0-9]+)", 1).cast("long")
+    views = F.col("video_viewCount").cast("string")
+    marked = F.when(number % 7 == 2, "many").when(number % 7 == 3, F.concat(F.lit(" "), views, F.lit(" "))).otherwise(views)
+    records = unify_records(video_records(spark, folder), channel_records(spark, folder))
+    write_csv(records.withColumn("video_viewCount", marked), path)
+    return path
+
+
+def records_roundtrip(spark, folder):
+    return read_metadata_records(spark, _records_file(spark, folder))
+
+
+def bad_records(spark, folder):
+    return bad_record_values(spark, _records_file(spark, folder))
+
+
 def shares_stored(spark, folder):
     """One month read back from the table partitioned by month."""
     path = scratch_path(spark, "shares")
@@ -337,6 +361,30 @@ def month_refresh(spark, folder):
     return read_by_month(spark, out.domain_month, DOMAIN_MONTH_SCHEMA)
 
 
+def versioned_refresh(spark, folder):
+    """Monthly counts of the version that is read after two months were done again."""
+    root = scratch_path(spark, "versions")
+    stored = f"{root}/input"
+    write_by_month(_shares(spark, folder), stored)
+    every = read_shares(spark, stored)
+    run_version(spark, every.where(~F.col("month").isin(*REFRESHED)), f"{root}/out")
+    run_version(spark, every, f"{root}/out", refresh_months=REFRESHED)
+    return read_version(spark, f"{root}/out", "domain_month")
+
+
+def month_append(spark, folder):
+    """Link counts of all months, with the posts of two of them added in two parts that overlap."""
+    root = scratch_path(spark, "append")
+    write_by_month(_shares(spark, folder), f"{root}/shares")
+    every = read_shares(spark, f"{root}/shares")
+    months, spec = stored_months(spark, f"{root}/shares"), platform_spec()
+    late = F.col("month").isin(*REFRESHED)
+    number = F.pmod(F.xxhash64("tweet_id"), F.lit(10))
+    append_rollup(spark, every.where(~late | (number < 6)), spec, months, f"{root}/values", f"{root}/counts")
+    append_rollup(spark, every.where(late & (number > 3)), spec, REFRESHED, f"{root}/values", f"{root}/counts")
+    return read_by_month(spark, f"{root}/counts", LINK_MONTH_SCHEMA)
+
+
 def _measures_as_numbers(df: DataFrame, texts) -> DataFrame:
     return df.select(*[F.col(c) if c in texts else F.col(c).cast("bigint").alias(c) for c in df.columns])
 
@@ -485,8 +533,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_roundtrip": bronze_roundtrip,
     "parsed_links_read": parsed_links_read,
     "metadata_roundtrip": metadata_roundtrip,
+    "records_roundtrip": records_roundtrip,
+    "bad_records": bad_records,
     "shares_stored": shares_stored,
     "month_refresh": month_refresh,
+    "versioned_refresh": versioned_refresh,
+    "month_append": month_append,
     "pipeline_channels": pipeline_channels,
     "resume": resume,
     "url_domain_suffixes": url_domain_suffixes,

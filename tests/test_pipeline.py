@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from linktally.operators.checks import rejected_rows
 from linktally.plans.pipeline import check_outputs, run_pipeline
-from linktally.schemas import MONTH_COLUMN_PREFIX
+from linktally.schemas import METADATA_FIELDS, MONTH_COLUMN_PREFIX
 from linktally.sources.exports import write_csv
 from linktally.sources.tables import (
     read_by_month,
     read_metadata,
+    bad_record_values,
     read_metadata_records,
     read_parsed_links,
     read_shares,
@@ -243,3 +244,17 @@ def test_shares_are_ordered_within_files(spark, run):
     for file in {row[0] for row in rows}:
         domains = [row[1] for row in rows if row[0] == file]
         assert domains == sorted(domains)
+
+
+def test_values_that_are_not_of_their_type(spark, tmp_path):
+    rows = [("v1", " 12 ", "2022-01-03 10:00:00"), ("v2", "many", "soon"), ("v3", "", None)]
+    names = ["video_id", "video_viewCount", "video_publishedAt"]
+    others = [name for name in METADATA_FIELDS if name not in names]
+    df = spark.createDataFrame(rows, ", ".join(f"{name} string" for name in names))
+    write_csv(df.select("*", *[F.lit(None).cast("string").alias(name) for name in others]), str(tmp_path))
+    read = {row["video_id"]: row for row in read_metadata_records(spark, str(tmp_path)).collect()}
+    assert read["v1"]["video_viewCount"] == 12 and read["v2"]["video_viewCount"] is None
+    bad = {row["field"]: (row["nb_values"], row["nb_bad"]) for row in bad_record_values(spark, str(tmp_path)).collect()}
+    assert bad["video_viewCount"] == (2, 1) and bad["video_publishedAt"] == (2, 1) and bad["channel_viewCount"] == (0, 0)
+    with pytest.raises(Exception, match="many|soon"):
+        read_metadata_records(spark, str(tmp_path), strict=True).collect()
