@@ -87,6 +87,21 @@ def features_of(texts: pa.Array, featurizer: Featurizer) -> Rows:
     return Rows(ends, np.concatenate(buckets), np.concatenate(values))
 
 
+def bounded_rows(rows: DataFrame, limit: int) -> DataFrame:
+    """At most ``limit`` of the rows ``place, target, text``: the least by place, then by a hash of the text.
+
+    Ids were chosen, and rows that share one are as many as they like. Places and
+    hashes alone are put in order; rows equal in both count once.
+    """
+    keyed = rows.withColumn("row", F.xxhash64("text"))
+    last = keyed.select("place", "row").orderBy("place", "row").limit(limit).agg(F.max(F.struct("place", "row")).alias("last"))
+    most = last.first()["last"]
+    if most is None:
+        return rows
+    below = (F.col("place") < most["place"]) | ((F.col("place") == most["place"]) & (F.col("row") <= most["row"]))
+    return keyed.where(below).dropDuplicates(["place", "row"]).drop("row")
+
+
 def sampled_features(sample: DataFrame, text_col: str, featurizer: Featurizer) -> tuple[np.ndarray, Rows]:
     """Targets and features of a sample of bounded size, for a fit on the driver.
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linktally.llm.common import cut, lowered, mixed, quoted, reachable, runs, slices, span_hashes, text_of, utf8, without, words
-from linktally.llm.hashed import BUCKETS, Adam, Rows, bucketed, sampled_features, scored, sigmoid
+from linktally.llm.hashed import BUCKETS, Adam, Rows, bounded_rows, bucketed, sampled_features, scored, sigmoid
 
 LABELLERS = ("symbols", "shouting", "exclamation", "tables", "repetition", "sentences", "word_length", "lines", "endings", "variety")
 GOOD, BAD, NONE = 1, 0, 2
@@ -212,8 +212,9 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ``weak_label`` is the posterior of the text's votes, ``score`` (0 to 1, higher:
     better) the linear scorer's, ``kept`` whether that is 0.5 or more. Votes are
-    counted over all documents; the scorer is fitted on at most ``sample`` of them,
-    those with the least hashed ids, and applied to every whole text.
+    counted over all documents; the scorer is fitted on at most ``sample`` rows,
+    those with the least hashed ids and, of rows that share one, the least hashed
+    texts, and applied to every whole text.
 
     A text too short for any labeller gets no votes: its weak label is the share of
     good texts. Null text is empty. Rows are scored one by one, so repeats and null
@@ -238,7 +239,7 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     fitted = docs.join(F.broadcast(chosen.dropDuplicates(["id"])), ids.eqNullSafe(F.col("id"))).select(
         "place", "target", F.col(quoted(text_col)).alias("text")
     )
-    targets, rows = sampled_features(fitted, "text", shape_features)
+    targets, rows = sampled_features(bounded_rows(fitted, sample), "text", shape_features)
     weights, bias = fit_soft(targets, rows)
     both = with_votes(kept.withColumn("__quality_own", text_of(text_col)), "__quality_own")
     out = scored(both, "__quality_own", shape_features, weights, bias, "score").drop("__quality_own")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linktally.llm.common import crc_rest, lowered, mixed, quoted, reachable, slices, span_hashes, text_of, utf8, without, words
-from linktally.llm.hashed import BUCKETS, Adam, Rows, bucketed, sampled_features, scored, sigmoid
+from linktally.llm.hashed import BUCKETS, Adam, Rows, bounded_rows, bucketed, sampled_features, scored, sigmoid
 
 #: Lengths in bytes of the word beginnings that are features, next to whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
@@ -171,8 +171,8 @@ def score_toxicity(
     ``labels`` has the id and ``toxic``. Rows whose crc32 of the id as text leaves
     0 modulo 5 are held out of the fit. ``prior`` is the share of toxic texts;
     without it, the share among the labelled rows of the training part. At most
-    ``positives`` confirmed and ``unlabelled`` other documents are fitted on, those
-    with the least hashed ids; every text is scored whole. Which words may count is
+    ``positives`` confirmed and ``unlabelled`` other rows are fitted on, those
+    with the least hashed ids and, of rows that share one, the least hashed texts; every text is scored whole. Which words may count is
     told by all rows of the training part: as many as pass the test of ``telling``.
     One that is in no text of the sample gets no weight.
 
@@ -211,7 +211,9 @@ def score_toxicity(
     sample = docs.join(F.broadcast(chosen), ids.eqNullSafe(F.col("id")))
     if docs.schema[id_col].dataType.typeName() == "void":
         raise ValueError(f"{id_col} has no type")
-    targets, rows = sampled_features(sample.select("place", "target", F.col(quoted(text_col)).alias("text")), "text", features)
+    found = sample.select("place", "target", F.col(quoted(text_col)).alias("text"))
+    bounded = bounded_rows(found.where("target = 1"), positives).union(bounded_rows(found.where("target = 0"), unlabelled))
+    targets, rows = sampled_features(bounded, "text", features)
     weights, bias = fit_nnpu(targets, rows, prior)
     named = kept.withColumn("held_out", crc_rest(id_col) == 0)
     out = scored(named, text_col, word_features, weights, bias, "score")

@@ -5,6 +5,9 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from linktally.llm import hashed, quality, toxicity
 from linktally.llm.quality import BAD, GOOD, NONE, cast_votes, estimate, score_quality
 from linktally.llm.toxicity import fit_nnpu, score_toxicity, word_features
 from linktally.llm.hashed import Rows
@@ -112,3 +115,25 @@ def test_quality_edge_cases(spark):
     assert score_quality(spark.createDataFrame([], SCHEMA)).collect() == []
     votes = cast_votes(np.frombuffer(b"word " * 100, np.uint8), np.array([0, 500]))
     assert votes[0][4] == BAD
+
+
+@pytest.mark.parametrize("doc_id", [1, None])
+def test_a_hot_id_does_not_fill_the_sample(spark, monkeypatch, doc_id):
+    """A third of all rows and more under one id, or none: the driver gets rows as bounded."""
+    met = []
+
+    def watched(sample, *rest):
+        met.append(sample.groupBy("target").count().collect())
+        return hashed.sampled_features(sample, *rest)
+
+    monkeypatch.setattr(quality, "sampled_features", watched)
+    monkeypatch.setattr(toxicity, "sampled_features", watched)
+    id_of = F.when(F.col("id") % 3 > 0, F.lit(doc_id)).otherwise(F.col("id"))
+    text = F.concat(F.lit("some words of text number "), (F.col("id") % 9000).cast("string"), F.when(F.col("id") % 2 == 0, F.lit(" hateful")).otherwise(""))
+    docs = spark.range(1, 30_001, 1, 6).select(id_of.cast("long").alias("doc_id"), text.alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")).distinct()
+    assert score_quality(docs, sample=500).count() == 30_000
+    assert score_toxicity(docs, labels, positives=100, unlabelled=300).count() == 30_000
+    assert sum(r["count"] for r in met[0]) <= 500
+    sizes = {r["target"]: r["count"] for r in met[1]}
+    assert sizes[1.0] <= 100 and 0 < sizes[0.0] <= 300
