@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Paths given out, by application.
+_made: dict[str, list[str]] = {}
+
 
 def build_session(app_name: str = "linktally", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the plans assume.
@@ -44,4 +47,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="linktally-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch tables that this application has made, and say how many there were.
+
+    A result may read them until it is written or used, so this is for its owner to
+    call, at the end of a job; other applications' tables in the same folder stay.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    found = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found += bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True))
+    return found
