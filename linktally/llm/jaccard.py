@@ -8,13 +8,15 @@ each rare token of its prefix, and under each pair of frequent tokens of its
 extended prefix. Which class a token is in is told by a fixed array of counters
 over the tokens of all documents; a wrong class costs time, never a link.
 
-Members of an index list are compared by sketches of 512 bits: the parity of the
-tokens in 512 cells, for large sets their number in 64. The differing bits, or the
-differences of the numbers, never add up to more than the tokens in only one of two
-sets, so no similar pair is lost. What survives is compared by sketches of about a bit per
-token, and what survives that is verified on the sets themselves, in two rounds: first each set with one partner; then, over the components found so far,
+Members of an index list are compared by sketches: the parity of the tokens in cells
+whose number grows with the set. The differing bits are never more than the tokens in
+only one of two sets, so no similar pair is lost. What survives is compared by sketches
+of about a bit per token, and what survives that is verified on the sets themselves, in
+two rounds: first each set with one partner; then, over the components found so far,
 every surviving pair that lies in different components. So the copies of a large
-group are not all paired, and no link between components is missed.
+group are not all paired, and no link between components is missed. Two sets that share
+many frequent tokens meet in a list for every two of them; the second round gives them
+out in the list of the first two alone.
 
 Texts with equal sets are one node throughout, known by a 128-bit digest.
 """
@@ -47,12 +49,13 @@ MOST_PAIRED = 64
 BLOCK = 4096
 #: Pairs compared at once.
 PAIRS = 1 << 18
-#: Sets of more tokens are sketched by numbers: parities of so many tell nothing.
-LARGE = 1024
+#: Bits of the sketches in the lists: by size of the set, within these.
+NARROW, WIDE = 1 << 9, 1 << 14
+#: Words of sketches laid side by side at once.
+SKETCH_WORDS = 1 << 21
 #: The first round looks into one in so many of the lists under pairs of tokens.
 FIRST_LISTS = 16
 
-SKETCH = [f"s{i}" for i in range(8)]
 _MASK = np.uint64((1 << TOKEN_BITS) - 1)
 
 
@@ -95,33 +98,6 @@ def digests(tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return a.view(np.int64), b.view(np.int64)
 
 
-def sketches(rows: np.ndarray, tokens: np.ndarray, count: int) -> np.ndarray:
-    """A sketch of each row as eight 64-bit words.
-
-    Parity of the tokens that fall on each of 512 bits; of sets over ``LARGE`` tokens,
-    how many fall on each of 64 bytes, modulo 256.
-    """
-    bit = (mixed(tokens + np.uint64(0xABCDEF)) >> np.uint64(55)).astype(np.int64)
-    parity = (np.bincount(rows * 512 + bit, minlength=count * 512) & 1).astype(np.uint8)
-    out = np.packbits(parity.reshape(count, 512), axis=1, bitorder="little")
-    large = np.bincount(rows, minlength=count) > LARGE
-    if large.any():
-        cells = np.bincount(rows * 64 + (bit >> 3), minlength=count * 64).reshape(count, 64)
-        out[large] = (cells[large] & 255).astype(np.uint8)
-    return out.view(np.int64)
-
-
-def sketch_distance(x: np.ndarray, y: np.ndarray, n_x: np.ndarray, n_y: np.ndarray) -> np.ndarray:
-    """At most the number of tokens in only one of two sets; 0 if their sketches differ in kind."""
-    apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-    apart[(n_x > LARGE) != (n_y > LARGE)] = 0
-    large = np.flatnonzero((n_x > LARGE) & (n_y > LARGE))
-    if len(large):
-        step = x[large].view(np.uint8) - y[large].view(np.uint8)
-        apart[large] = np.minimum(step, -step).sum(axis=1, dtype=np.int64)
-    return apart
-
-
 def long_sketches(tokens: np.ndarray, ends: np.ndarray) -> list[bytes]:
     """Parity of the tokens on each of 512 bits or more, the next power of two to their number."""
     spread = mixed(tokens + np.uint64(0xFEDCBA))
@@ -133,6 +109,60 @@ def long_sketches(tokens: np.ndarray, ends: np.ndarray) -> list[bytes]:
     return out
 
 
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """A sketch, or a table of them, on fewer words: bits whose places agree there are added up."""
+    while sketch.shape[-1] > words:
+        half = sketch.shape[-1] // 2
+        sketch = sketch[..., :half] ^ sketch[..., half:]
+    return sketch
+
+
+def list_sketches(parities: list[bytes], sizes: np.ndarray, percent: int) -> list[bytes]:
+    """The long sketches folded to what the lists carry.
+
+    Half the bits of two unrelated sets differ; that has to be clearly more than the
+    most that two linked sets may differ in, ``2 n (1 - t) / (1 + t)`` tokens.
+    """
+    out = []
+    for parity, size in zip(parities, sizes):
+        least = int(4.5 * size * (100 - percent) / (100 + percent))
+        bits = min(max(1 << max(least - 1, 0).bit_length(), NARROW), WIDE)
+        out.append(folded(np.frombuffer(parity, dtype=np.uint64), bits // 64).tobytes())
+    return out
+
+
+class Sketches:
+    """Sketches of different widths, ready to be compared at the lesser of two widths."""
+
+    def __init__(self, column: np.ndarray) -> None:
+        self.words = np.array([len(s) // 8 for s in column], dtype=np.int64)
+        self.at: dict[int, np.ndarray] = {}
+        self.table: dict[int, np.ndarray] = {}
+        width = int(self.words.max())
+        rows, table = np.zeros(0, dtype=np.int64), np.zeros((0, width), dtype=np.uint64)
+        while width >= self.words.min():
+            own = np.flatnonzero(self.words == width)
+            plain = np.frombuffer(b"".join(column[own]), dtype=np.uint64).reshape(-1, width)
+            rows, table = np.concatenate([rows, own]), np.concatenate([folded(table, width), plain])
+            self.at[width] = np.zeros(len(column), dtype=np.int64)
+            self.at[width][rows] = np.arange(len(rows))
+            self.table[width] = table
+            width //= 2
+
+    def distance(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """At most the number of tokens in only one of the sets of rows ``i`` and ``j``."""
+        out = np.zeros(len(i), dtype=np.int64)
+        level = np.minimum(self.words[i], self.words[j])
+        for width in np.unique(level):
+            chosen = np.flatnonzero(level == width)
+            at, table = self.at[int(width)], self.table[int(width)]
+            lot = max(SKETCH_WORDS // int(width), 1)
+            for start in range(0, len(chosen), lot):
+                piece = chosen[start : start + lot]
+                out[piece] = np.bitwise_count(table[at[i[piece]]] ^ table[at[j[piece]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def _parts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Row range, row numbers inside it, tokens and row ends of each slice of a batch."""
     data, offsets = utf8(batch["text"])
@@ -144,7 +174,7 @@ def _parts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, np.ndar
         yield start, end, rows, tokens, ends
 
 
-def _sign(size: int):
+def _sign(size: int, percent: int):
     """One row per document, then the counters of the task in chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,31 +187,31 @@ def _sign(size: int):
                 once = np.zeros(end - start, dtype=bool)
                 once[np.unique(a, return_index=True)[1]] = True
                 counters += np.bincount((tokens[once[rows]] >> np.uint64(TOKEN_BITS - 20)).astype(np.int64), minlength=COUNTERS)
-                sketch = sketches(rows, tokens, end - start)
+                parities = long_sketches(tokens, ends)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["id"].slice(start, end - start),
                         pa.array(a),
                         pa.array(b),
                         pa.array(np.diff(ends)),
-                        *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(8)],
-                        pa.array(long_sketches(tokens, ends), pa.binary()),
+                        pa.array(list_sketches(parities, np.diff(ends), percent), pa.binary()),
+                        pa.array(parities, pa.binary()),
                         pa.nulls(end - start, pa.int32()),
                         pa.nulls(end - start, pa.binary()),
                     ],
-                    names=["id", "a", "b", "n", *SKETCH, "parity", "chunk", "counts"],
+                    names=["id", "a", "b", "n", "sketch", "parity", "chunk", "counts"],
                 )
         if id_type is not None:
             chunks = COUNTERS // CHUNK
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.nulls(chunks, id_type),
-                    *[pa.nulls(chunks, pa.int64()) for _ in range(11)],
-                    pa.nulls(chunks, pa.binary()),
+                    *[pa.nulls(chunks, pa.int64()) for _ in range(3)],
+                    *[pa.nulls(chunks, pa.binary()) for _ in range(2)],
                     pa.array(range(chunks), pa.int32()),
                     pa.array([c.astype("<u4").tobytes() for c in counters.reshape(chunks, CHUNK)], pa.binary()),
                 ],
-                names=["id", "a", "b", "n", *SKETCH, "parity", "chunk", "counts"],
+                names=["id", "a", "b", "n", "sketch", "parity", "chunk", "counts"],
             )
 
     return run
@@ -233,11 +263,12 @@ def _ranks(marked: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> np.ndarray
 
 def prefix_signatures(
     rows: np.ndarray, tokens: np.ndarray, ends: np.ndarray, frequent: np.ndarray, percent: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, signature and kind of each index entry of each set.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, signature, kind and place of each index entry of each set.
 
     Kinds: 0 a rare token, 1 a pair of frequent ones, 2 a single frequent token, 3
-    the same of a set with too many of them to pair.
+    the same of a set with too many of them to pair. The place is that of the frequent
+    token among those of the set's prefix, for pairs ``second * MOST_PAIRED + first``.
     """
     sizes = np.diff(ends)
     prefix = sizes - -(-percent * sizes // 100) + 1
@@ -247,6 +278,7 @@ def prefix_signatures(
     often = ~rare & (_ranks(~rare, ends, rows) < np.minimum(prefix + 1, sizes)[rows] - n_rare[rows])
     out_rows, out_sigs = [rows[single]], [mixed(tokens[single])]
     out_kinds = [np.zeros(int(single.sum()), dtype=np.int8)]
+    out_places = [np.zeros(int(single.sum()), dtype=np.int16)]
     of_row, of_token = rows[often], tokens[often]
     counts = np.bincount(of_row, minlength=len(sizes)) if len(of_row) else np.zeros(len(sizes), np.int64)
     at = np.concatenate([[0], np.cumsum(counts)])
@@ -255,13 +287,15 @@ def prefix_signatures(
         out_rows.append(of_row)
         out_sigs.append(mixed(of_token ^ np.uint64(0x7777777777777777)))
         out_kinds.append(np.where(heavy, 3, 2).astype(np.int8))
+        out_places.append(np.where(heavy, 0, np.arange(len(of_row)) - at[of_row]).astype(np.int16))
     for row in np.flatnonzero((counts > 1) & (counts <= MOST_PAIRED)):
         own = mixed(of_token[at[row] : at[row + 1]])
         i, j = np.triu_indices(len(own), 1)
         out_rows.append(np.full(len(i), row))
         out_sigs.append(mixed(own[i] * np.uint64(0x9E3779B97F4A7C15) + own[j]))
         out_kinds.append(np.ones(len(i), dtype=np.int8))
-    return np.concatenate(out_rows), np.concatenate(out_sigs), np.concatenate(out_kinds)
+        out_places.append((j * MOST_PAIRED + i).astype(np.int16))
+    return tuple(np.concatenate(out) for out in (out_rows, out_sigs, out_kinds, out_places))
 
 
 def _post(size: int, percent: int, frequent):
@@ -278,12 +312,17 @@ def _post(size: int, percent: int, frequent):
                 used = once[rows]
                 kept = np.zeros(end - start + 1, dtype=np.int64)
                 np.cumsum(np.where(once, np.diff(ends), 0), out=kept[1:])
-                row, sig, kind = prefix_signatures(rows[used], tokens[used], kept, often, percent)
+                row, sig, kind, place = prefix_signatures(rows[used], tokens[used], kept, often, percent)
                 for lot in range(0, len(row), 1 << 18):
                     piece = slice(lot, lot + (1 << 18))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(sig[piece].view(np.int64)), pa.array(a[row[piece]]), pa.array(kind[piece])],
-                        names=["sig", "a", "kind"],
+                        [
+                            pa.array(sig[piece].view(np.int64)),
+                            pa.array(a[row[piece]]),
+                            pa.array(kind[piece]),
+                            pa.array(place[piece]),
+                        ],
+                        names=["sig", "a", "kind", "place"],
                     )
 
     return run
@@ -316,17 +355,20 @@ def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A list is never held: an entry waits for the next one, and it goes out when that
     one has the same signature or the one before it had.
     """
-    last_sig = last_a = last_kind = None
+    names = ["sig", "a", "kind", "place"]
+    last: list[np.ndarray] = []
     matched = False
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, a, kind = (batch[name].to_numpy(zero_copy_only=False) for name in ("sig", "a", "kind"))
-        if last_sig is not None:
-            sig, a, kind = (np.concatenate([[p], q]) for p, q in ((last_sig, sig), (last_a, a), (last_kind, kind)))
+        columns = [batch[name].to_numpy(zero_copy_only=False) for name in names]
+        if last:
+            columns = [np.concatenate(both) for both in zip(last, columns)]
+        sig, a = columns[:2]
         fresh = np.ones(len(sig), dtype=bool)
         fresh[1:] = (sig[1:] != sig[:-1]) | (a[1:] != a[:-1])
-        sig, a, kind = sig[fresh], a[fresh], kind[fresh]
+        columns = [column[fresh] for column in columns]
+        sig, kind = columns[0], columns[2]
         same = sig[1:] == sig[:-1]
         shared = np.zeros(len(sig), dtype=bool)
         shared[1:] |= same
@@ -334,33 +376,62 @@ def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared[0] |= matched
         shared |= kind > 0
         matched = bool(shared[-1]) and len(sig) > 1 and bool(same[-1]) or (matched and len(sig) == 1)
-        last_sig, last_a, last_kind = sig[-1], a[-1], kind[-1]
+        last = [column[-1:] for column in columns]
         out = shared[:-1]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(sig[:-1][out]), pa.array(a[:-1][out]), pa.array(kind[:-1][out].astype(np.int8))],
-            names=["sig", "a", "kind"],
-        )
-    if last_sig is not None and (matched or last_kind > 0):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([last_sig], pa.int64()), pa.array([last_a], pa.int64()), pa.array([last_kind], pa.int8())],
-            names=["sig", "a", "kind"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(column[:-1][out]) for column in columns], names=names)
+    if last and (matched or last[2][0] > 0):
+        yield pa.RecordBatch.from_arrays([pa.array(column) for column in last], names=names)
+
+
+def _earlier_bits(often: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For each member of a list under two tokens, which other frequent tokens it has before the second.
+
+    A bit each, for tokens that several members have.
+    """
+    before = []
+    for tokens, spot in zip(often, place):
+        second, first = divmod(int(spot), MOST_PAIRED)
+        before.append(np.delete(np.asarray(tokens[:second]), first))
+    owner = np.repeat(np.arange(len(before)), [len(tokens) for tokens in before])
+    _, token, counts = np.unique(np.concatenate(before), return_inverse=True, return_counts=True)
+    common = counts[token] > 1
+    number = (np.cumsum(counts > 1) - 1)[token[common]]
+    bits = np.zeros((len(before), int((counts > 1).sum()) // 64 + 1), dtype=np.uint64)
+    np.bitwise_or.at(bits, (owner[common], number >> 6), np.uint64(1) << (number & 63).astype(np.uint64))
+    return bits
 
 
 def _candidates(percent: int, first_only: bool):
     """Pairs of an index list that sketch and size leave possible.
 
     ``first_only``: for each member the first possible partner before and after it.
-    Otherwise all that differ in ``label``, and whose ``side`` differs if they have one.
+    Otherwise all that differ in ``label``, and whose ``side`` differs if they have one;
+    of the lists under pairs of tokens only that of the first two tokens both have.
     """
 
+    def least_list(columns, i, j, begin, end, cache):
+        keep = np.ones(len(i), dtype=bool)
+        paired = np.flatnonzero(columns["family"][j] == 1)
+        for start in np.unique(begin[j[paired]]):
+            of_list = paired[begin[j[paired]] == start]
+            if cache.get("start") != start:
+                members = slice(start, end[start])
+                cache.update(start=start, bits=_earlier_bits(columns["often"][members], columns["place"][members]))
+            bits = cache["bits"]
+            lot = max(SKETCH_WORDS // bits.shape[1], 1)
+            for at in range(0, len(of_list), lot):
+                piece = of_list[at : at + lot]
+                keep[piece] = ~(bits[i[piece] - start] & bits[j[piece] - start]).any(axis=1)
+        return keep
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns, starts in _groups(batches, ["sig", "block", "block2"]):
+        for columns, starts in _groups(batches, ["sig", "family", "block", "block2"]):
             a, n, label, side = columns["a"], columns["n"], columns["label"], columns["side"]
-            sketch = np.stack([columns[s] for s in SKETCH], axis=1).view(np.uint64)
+            sketches, kind, cache = Sketches(columns["sketch"]), columns["kind"], {}
             sizes = np.diff(np.concatenate([starts, [len(a)]]))
             place = np.arange(len(a)) - np.repeat(starts, sizes)
             begin = np.arange(len(a)) - place
+            end = begin + np.repeat(sizes, sizes)
             crossed = columns["block"] != columns["block2"]
             work = np.concatenate([[0], np.cumsum(place)])
             at = 0
@@ -373,8 +444,10 @@ def _candidates(percent: int, first_only: bool):
                 fit = (100 * low >= percent * high) & (a[i] != a[j])
                 fit &= label[i] != label[j]
                 fit &= ~crossed[j] | (side[i] != side[j])
+                # sets whose frequent tokens are paired meet in the lists of pairs
+                fit &= (kind[i] != 2) | (kind[j] != 2)
                 i, j = i[fit], j[fit]
-                apart = sketch_distance(sketch[i], sketch[j], n[i], n[j])
+                apart = sketches.distance(i, j)
                 fit = apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
                 i, j = i[fit], j[fit]
                 if first_only and len(i):
@@ -382,6 +455,9 @@ def _candidates(percent: int, first_only: bool):
                     keep[np.unique(j, return_index=True)[1]] = True
                     keep[np.unique(i, return_index=True)[1]] = True
                     i, j = i[keep], j[keep]
+                elif len(i):
+                    keep = least_list(columns, i, j, begin, end, cache)
+                    i, j = i[keep], j[keep]
                 if len(i):
                     x, y = np.minimum(a[i], a[j]), np.maximum(a[i], a[j])
                     order = np.lexsort((y, x))
@@ -466,16 +542,16 @@ class JaccardJoin:
         self.docs = docs.select(F.col(quoted(id_col)).alias("id"), text_of(text_col).alias("text"))
         self.size, self.percent, self.frequent = size, percent, frequent
         kind = docs.schema[id_col].dataType.simpleString()
-        words8 = ", ".join(f"{s} long" for s in SKETCH)
         signed = self.docs.mapInArrow(
-            _sign(size), f"id {kind}, a long, b long, n long, {words8}, parity binary, chunk int, counts binary"
+            _sign(size, percent),
+            f"id {kind}, a long, b long, n long, sketch binary, parity binary, chunk int, counts binary",
         )
         self.signed = cut(signed, "jaccard-signed")
         self.rows = self.signed.where("chunk IS NULL").select("id", "a", "b", "n")
         self.nodes = cut(
             self.signed.where("chunk IS NULL AND n > 0")
             .groupBy("a", "b")
-            .agg(F.min("id").alias("least_id"), F.max("n").alias("n"), *[F.max(s).alias(s) for s in SKETCH], F.max("parity").alias("parity")),
+            .agg(F.min("id").alias("least_id"), F.max("n").alias("n"), F.max("sketch").alias("sketch"), F.max("parity").alias("parity")),
             "jaccard-nodes",
         )
 
@@ -485,15 +561,15 @@ class JaccardJoin:
         often = counters > self.frequent + counters.mean() + 4 * math.sqrt(counters.mean())
         broadcast = self.spark.sparkContext.broadcast(np.packbits(often).tobytes())
         posted = self.docs.select("text").mapInArrow(
-            _post(self.size, self.percent, broadcast), "sig long, a long, kind byte"
+            _post(self.size, self.percent, broadcast), "sig long, a long, kind byte, place short"
         )
         # lists of frequent tokens are dealt out; whether they hold several sets is asked later
         salt = F.when(F.col("kind") > 0, F.pmod(F.col("a"), F.lit(64))).otherwise(0)
         live = posted.repartition("sig", salt).sortWithinPartitions("sig", "a").mapInArrow(_live, posted.schema)
         return cut(live, "jaccard-entries")
 
-    def candidates(self, entries: DataFrame, labels: DataFrame | None) -> DataFrame:
-        """Possible pairs ``x < y``: one partner each, or all between components."""
+    def listed(self, entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """Pairs ``x < y`` that the lists leave possible: one partner each, or all between components."""
         member = entries
         if labels is not None:
             member = member.join(labels.select(F.col("node").alias("a"), "label"), "a", "left").withColumn(
@@ -503,8 +579,9 @@ class JaccardJoin:
             # this round need not see all lists: what it misses, the next one finds
             member = member.where((F.col("kind") != 1) | (F.pmod("sig", F.lit(FIRST_LISTS)) == 0))
             member = member.withColumn("label", F.col("a"))
+        family = F.least("kind", F.lit(2).cast("byte")).alias("family")
         lists = (
-            member.groupBy("sig", (F.col("kind") > 1).alias("single"))
+            member.groupBy("sig", family)
             .agg(
                 F.min("label").alias("low"),
                 F.max("label").alias("high"),
@@ -513,31 +590,45 @@ class JaccardJoin:
                 F.count("*").alias("members"),
             )
             # lists under single frequent tokens serve the sets with too many of them alone
-            .where((F.col("low") < F.col("high")) & (~F.col("single") | (F.col("most") == 3)))
-            .select("sig", "single", "hub", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+            .where((F.col("low") < F.col("high")) & ((F.col("family") < 2) | (F.col("most") == 3)))
+            .select("sig", "family", "hub", F.ceil(F.col("members") / BLOCK).alias("blocks"))
         )
-        found = member.withColumn("single", F.col("kind") > 1).join(lists, ["sig", "single"])
+        found = member.select("*", family).join(lists, ["sig", "family"])
         own = F.pmod(F.xxhash64("a"), F.col("blocks"))
         if labels is None:
-            placed = found.select("sig", "a", "label", own.alias("block"))
+            placed = found.select("sig", "family", "a", "label", "kind", own.alias("block"))
             hubs = lists.where("blocks > 1").select(
-                "sig", F.col("hub").alias("a"), F.col("hub").alias("label"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+                "sig", "family", F.col("hub").alias("a"), F.col("hub").alias("label"), F.lit(3).cast("byte").alias("kind"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
             )
             placed = placed.unionByName(hubs).select("*", F.col("block").alias("block2"), F.col("block").alias("side"))
+            sized = placed.join(self.nodes.select("a", "n", "sketch"), "a")
         else:
             placed = found.select(
-                "sig", "a", "label", own.alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+                "sig", "family", "a", "label", "kind", "place", own.alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
             ).select(
-                "sig", "a", "label", "side", F.least("side", "other").alias("block"), F.greatest("side", "other").alias("block2")
+                "sig", "family", "a", "label", "kind", "place", "side", F.least("side", "other").alias("block"), F.greatest("side", "other").alias("block2")
+            )
+            # at most MOST_PAIRED of a set
+            often = (
+                entries.where("kind = 2")
+                .groupBy("a")
+                .agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "sig"))), lambda e: e["sig"]).alias("tokens"))
             )
-        sized = placed.join(self.nodes.select("a", "n", *SKETCH), "a")
-        pairs = (
-            sized.select("sig", "block", "block2", "a", "n", "label", "side", *SKETCH)
-            .repartition("sig", "block", "block2")
-            .sortWithinPartitions("sig", "block", "block2", "n", "a")
+            sized = (
+                placed.join(self.nodes.select("a", "n", "sketch"), "a")
+                .join(often, "a", "left")
+                .withColumn("often", F.when(F.col("kind") == 1, F.col("tokens")))
+                .drop("tokens")
+            )
+        return (
+            sized.repartition("sig", "block", "block2")
+            .sortWithinPartitions("sig", "family", "block", "block2", "n", "a")
             .mapInArrow(_candidates(self.percent, labels is None), "x long, y long")
-            .distinct()
         )
+
+    def candidates(self, entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """The pairs of the lists, each once, that their longer sketches leave possible too."""
+        pairs = self.listed(entries, labels).distinct()
         left = self.nodes.select(F.col("a").alias("x"), F.col("n").alias("n_left"), F.col("parity").alias("left"))
         right = self.nodes.select(F.col("a").alias("y"), F.col("n").alias("n_right"), F.col("parity").alias("right"))
         return pairs.join(left, "x").join(right, "y").mapInArrow(_by_parity(self.percent), "x long, y long")

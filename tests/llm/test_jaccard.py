@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 import linktally.llm.jaccard as jaccard
+from linktally.llm.common import distinct
 from linktally.llm.components import connected
 from linktally.llm.jaccard import jaccard_components
 
@@ -91,18 +92,57 @@ def test_sets_with_many_frequent_tokens(spark):
     assert got(jaccard_components(df, shingle_words=3, percent=90, frequent=2)) == brute(rows, 3, 90)
 
 
-@pytest.mark.parametrize("size", [40, 900, 1023, 1500, 20_000])
-def test_sketches_never_exceed_the_difference(size):
+@pytest.mark.parametrize("percent", [60, 80, 90])
+@pytest.mark.parametrize("size", [1, 40, 900, 1023, 1500, 3000, 10_000, 20_000])
+def test_sketches_never_exceed_the_difference(size, percent):
     random = np.random.default_rng(size)
-    pool = random.integers(0, 1 << 52, 3 * size, dtype=np.uint64)
+    pool = distinct(random.integers(0, 1 << 52, 3 * size, dtype=np.uint64))
+    random.shuffle(pool)
     for other in (0, 1, size // 20, size // 4, size):
-        x, y = pool[:size], pool[other : size + other + other // 9]
-        n = [len(np.unique(x)), len(np.unique(y))]
-        both = [jaccard.sketches(np.zeros(len(s), np.int64), s, 1).view(np.uint64) for s in (x, y)]
-        apart = jaccard.sketch_distance(*both, np.array(n[:1]), np.array(n[1:]))[0]
-        assert apart <= len(np.setxor1d(x, y))
-        if other == size and size < 5_000 and (n[0] > jaccard.LARGE) == (n[1] > jaccard.LARGE):
-            assert apart * 190 > sum(n) * 10  # strangers are told apart at 0.9
+        sets = [pool[:size], pool[other : size + other + other // 9]]
+        n = np.array([len(s) for s in sets])
+        parities = jaccard.long_sketches(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]))
+        column = np.array(jaccard.list_sketches(parities, n, percent), dtype=object)
+        apart = jaccard.Sketches(column).distance(np.zeros(1, int), np.ones(1, int))[0]
+        assert apart <= len(np.setxor1d(*sets))
+        if other == size and size > 20 and percent > 60:  # strangers are told apart
+            assert apart * (100 + percent) > sum(n) * (100 - percent)
+
+
+def test_large_sets_match_brute_force(spark):
+    """Sets of 1,000 to 20,000 tokens: strangers, near copies on both sides of the threshold, shared tokens."""
+    random.seed(5)
+    rows, number = [], 0
+    for size in (1000, 1100, 3000, 9000, 20_000):
+        for _ in range(3):
+            base = [random.randrange(4000) for _ in range(size)]
+            for changes in (0, size // 100, size // 40, size // 20):
+                words = list(base)
+                for _ in range(changes):
+                    words[random.randrange(size)] = random.randrange(4000)
+                rows.append((number, " ".join(map(str, words)), "x", 1))
+                number += 1
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert got(jaccard_components(df, shingle_words=3, percent=90)) == brute(rows, 3, 90)
+    assert got(jaccard_components(df, shingle_words=3, percent=80, frequent=1)) == brute(rows, 3, 80)
+
+
+def test_second_round_gives_a_pair_in_one_list_of_pairs(spark):
+    """Members that share many frequent tokens meet in many lists."""
+    random.seed(11)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for _ in range(4):
+            words[random.randrange(60)] = f"x{random.randrange(5)}"
+        rows.append((i, " ".join(words), "x", 1))
+    join = jaccard.JaccardJoin(spark.createDataFrame(rows, SCHEMA), "doc_id", "text", 3, 60, 1)
+    entries = join.entries()
+    assert entries.where("kind = 1").count() > 1000
+    labels = join.nodes.selectExpr("a AS node", "a AS label")
+    pairs = [tuple(r) for r in join.listed(entries.where("kind > 0"), labels).collect()]
+    assert len(pairs) == len(set(pairs)) > 0
 
 
 def test_empty_table_and_bad_threshold(spark):
