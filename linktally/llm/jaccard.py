@@ -12,10 +12,11 @@ Members of an index list are compared by sketches: the parity of the tokens in c
 whose number grows with the set. The differing bits are never more than the tokens in
 only one of two sets, so no similar pair is lost. What survives is compared by sketches
 of about a bit per token, and what survives that is verified on the sets themselves, in
-two rounds: first each set with one partner; then, over the components found so far,
-every surviving pair that lies in different components. So the copies of a large
+rounds. In the first ones each set meets its least and its nearest partner, after the first
+round those outside the component found so far, until the components hardly grow; the last
+one takes every surviving pair that lies in different components. So the copies of a large
 group are not all paired, and no link between components is missed. Two sets that share
-many frequent tokens meet in a list for every two of them; the second round gives them
+many frequent tokens meet in a list for every two of them; the last round gives them
 out in the list of the first two alone.
 
 Texts with equal sets are one node throughout, known by a 128-bit digest.
@@ -55,6 +56,8 @@ NARROW, WIDE = 1 << 9, 1 << 14
 SKETCH_WORDS = 1 << 21
 #: The first round looks into one in so many of the lists under pairs of tokens.
 FIRST_LISTS = 16
+#: Rounds over partners at most, the first one among them, and what is few new links for one.
+PARTNER_ROUNDS, FEW_LINKS = 3, 16
 
 _MASK = np.uint64((1 << TOKEN_BITS) - 1)
 
@@ -404,8 +407,8 @@ def _earlier_bits(often: np.ndarray, place: np.ndarray) -> np.ndarray:
 def _candidates(percent: int, first_only: bool):
     """Pairs of an index list that sketch and size leave possible.
 
-    ``first_only``: for each member the first possible partner before and after it.
-    Otherwise all that differ in ``label``, and whose ``side`` differs if they have one;
+    All differ in ``label``. ``first_only``: for each member the first possible partner before
+    and after it, and the nearest. Otherwise every one, whose ``side`` differs if they have one;
     of the lists under pairs of tokens only that of the first two tokens both have.
     """
 
@@ -452,8 +455,10 @@ def _candidates(percent: int, first_only: bool):
                 i, j = i[fit], j[fit]
                 if first_only and len(i):
                     keep = np.zeros(len(i), dtype=bool)
-                    keep[np.unique(j, return_index=True)[1]] = True
-                    keep[np.unique(i, return_index=True)[1]] = True
+                    near = np.argsort(apart[fit], kind="stable")
+                    for member in (i, j):
+                        keep[np.unique(member, return_index=True)[1]] = True
+                        keep[near[np.unique(member[near], return_index=True)[1]]] = True
                     i, j = i[keep], j[keep]
                 elif len(i):
                     keep = least_list(columns, i, j, begin, end, cache)
@@ -472,11 +477,11 @@ def _candidates(percent: int, first_only: bool):
 
 
 def _by_parity(percent: int):
-    """Pairs that their longer sketches leave possible."""
+    """Pairs that their longer sketches leave possible, and in how many bits these differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep, bits = [], []
             total = batch["n_left"].to_numpy() + batch["n_right"].to_numpy()
             for left, right, both in zip(batch["left"], batch["right"], total):
                 x = np.frombuffer(left.as_buffer(), dtype=np.uint64)
@@ -488,7 +493,9 @@ def _by_parity(percent: int):
                         y = y[: len(y) // 2] ^ y[len(y) // 2 :]
                 apart = int(np.bitwise_count(x ^ y).sum())
                 keep.append(apart * (100 + percent) <= both * (100 - percent))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["x", "y"])
+                bits.append(apart)
+            pairs = batch.select(["x", "y"]).append_column("apart", pa.array(bits, pa.int64()))
+            yield pairs.filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -568,15 +575,15 @@ class JaccardJoin:
         live = posted.repartition("sig", salt).sortWithinPartitions("sig", "a").mapInArrow(_live, posted.schema)
         return cut(live, "jaccard-entries")
 
-    def listed(self, entries: DataFrame, labels: DataFrame | None) -> DataFrame:
-        """Pairs ``x < y`` that the lists leave possible: one partner each, or all between components."""
+    def listed(self, entries: DataFrame, labels: DataFrame | None, partners: bool = False) -> DataFrame:
+        """Pairs ``x < y`` between components that the lists leave possible: all, or a few ``partners`` of each set."""
         member = entries
         if labels is not None:
             member = member.join(labels.select(F.col("node").alias("a"), "label"), "a", "left").withColumn(
                 "label", F.coalesce("label", "a")
             )
         else:
-            # this round need not see all lists: what it misses, the next one finds
+            # this round need not see all lists: what it misses, the next ones find
             member = member.where((F.col("kind") != 1) | (F.pmod("sig", F.lit(FIRST_LISTS)) == 0))
             member = member.withColumn("label", F.col("a"))
         family = F.least("kind", F.lit(2).cast("byte")).alias("family")
@@ -585,7 +592,7 @@ class JaccardJoin:
             .agg(
                 F.min("label").alias("low"),
                 F.max("label").alias("high"),
-                F.min("a").alias("hub"),
+                F.min(F.struct("a", "label")).alias("hub"),
                 F.max("kind").alias("most"),
                 F.count("*").alias("members"),
             )
@@ -595,10 +602,10 @@ class JaccardJoin:
         )
         found = member.select("*", family).join(lists, ["sig", "family"])
         own = F.pmod(F.xxhash64("a"), F.col("blocks"))
-        if labels is None:
+        if partners:
             placed = found.select("sig", "family", "a", "label", "kind", own.alias("block"))
             hubs = lists.where("blocks > 1").select(
-                "sig", "family", F.col("hub").alias("a"), F.col("hub").alias("label"), F.lit(3).cast("byte").alias("kind"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+                "sig", "family", "hub.a", "hub.label", F.lit(3).cast("byte").alias("kind"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
             )
             placed = placed.unionByName(hubs).select("*", F.col("block").alias("block2"), F.col("block").alias("side"))
             sized = placed.join(self.nodes.select("a", "n", "sketch"), "a")
@@ -623,15 +630,23 @@ class JaccardJoin:
         return (
             sized.repartition("sig", "block", "block2")
             .sortWithinPartitions("sig", "family", "block", "block2", "n", "a")
-            .mapInArrow(_candidates(self.percent, labels is None), "x long, y long")
+            .mapInArrow(_candidates(self.percent, partners), "x long, y long")
         )
 
-    def candidates(self, entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+    def candidates(self, entries: DataFrame, labels: DataFrame | None, partners: bool = False) -> DataFrame:
         """The pairs of the lists, each once, that their longer sketches leave possible too."""
-        pairs = self.listed(entries, labels).distinct()
+        pairs = self.listed(entries, labels, partners).distinct()
         left = self.nodes.select(F.col("a").alias("x"), F.col("n").alias("n_left"), F.col("parity").alias("left"))
         right = self.nodes.select(F.col("a").alias("y"), F.col("n").alias("n_right"), F.col("parity").alias("right"))
-        return pairs.join(left, "x").join(right, "y").mapInArrow(_by_parity(self.percent), "x long, y long")
+        return pairs.join(left, "x").join(right, "y").mapInArrow(_by_parity(self.percent), "x long, y long, apart long")
+
+    def chosen(self, entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """Possible pairs between components: of each set that with its least partner and that with its nearest."""
+        possible = cut(self.candidates(entries, labels, partners=True), "jaccard-possible")
+        of_x = possible.groupBy("x").agg(F.min_by("y", F.struct("apart", "y")).alias("y"))
+        of_y = possible.groupBy("y").agg(F.min_by("x", F.struct("apart", "x")).alias("x"))
+        least = possible.groupBy("y").agg(F.min("x").alias("x"))
+        return of_x.unionByName(of_y).unionByName(least).distinct()
 
     def sets_of(self, pairs: DataFrame) -> DataFrame:
         """``a, tokens`` of every set in a pair, and of few others."""
@@ -664,22 +679,36 @@ class JaccardJoin:
             _verify(self.percent), "x long, y long"
         )
 
+    def with_sets(self, sets: DataFrame | None, pairs: DataFrame) -> DataFrame:
+        """``sets`` and those that the pairs need beside them."""
+        if sets is None:
+            return self.sets_of(pairs)
+        ends = pairs.select(F.explode(F.array("x", "y")).alias("x")).distinct()
+        absent = ends.join(sets.select(F.col("a").alias("x")), "x", "left_anti").withColumn("y", F.col("x"))
+        if absent.isEmpty():
+            return sets
+        return sets.unionByName(self.sets_of(absent).join(sets.select("a"), "a", "left_anti"))
+
     def labels(self) -> DataFrame:
         """``node, label`` of every set that has a link."""
         entries = self.entries()
-        possible = cut(self.candidates(entries, None), "jaccard-possible")
-        first = cut(possible.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), "jaccard-first")
-        sets = self.sets_of(first)
-        links = cut(self.verified(first, sets), "jaccard-links")
-        labels = connected(links)
-        more = cut(self.candidates(entries, labels).join(first, ["x", "y"], "left_anti"), "jaccard-possible")
-        # sets that had no partner in the first round
-        ends = more.select(F.explode(F.array("x", "y")).alias("x")).distinct()
-        absent = ends.join(sets.select(F.col("a").alias("x")), "x", "left_anti").withColumn("y", F.col("x"))
-        if not absent.isEmpty():
-            added = self.sets_of(absent).join(sets.select("a"), "a", "left_anti")
-            sets = sets.unionByName(added)
-        further = cut(self.verified(more, sets), "jaccard-links")
+        labels = tried = sets = links = None
+        for _ in range(PARTNER_ROUNDS):
+            pairs = self.chosen(entries, labels)
+            if tried is not None:
+                pairs = pairs.join(tried, ["x", "y"], "left_anti")
+            pairs = cut(pairs.select("x", "y"), "jaccard-partners")
+            sets = self.with_sets(sets, pairs)
+            found = cut(self.verified(pairs, sets), "jaccard-links")
+            tried = pairs if tried is None else tried.union(pairs)
+            links = found if links is None else links.union(found)
+            more = found.limit(FEW_LINKS + 1).count()
+            if more or labels is None:
+                labels = connected(links)
+            if more <= FEW_LINKS:
+                break
+        rest = cut(self.candidates(entries, labels, partners=False).select("x", "y").join(tried, ["x", "y"], "left_anti"), "jaccard-possible")
+        further = cut(self.verified(rest, self.with_sets(sets, rest)), "jaccard-links")
         if further.isEmpty():
             return labels
         return connected(links.union(further))

@@ -145,6 +145,28 @@ def test_second_round_gives_a_pair_in_one_list_of_pairs(spark):
     assert len(pairs) == len(set(pairs)) > 0
 
 
+def test_large_group_of_near_copies_is_joined_before_all_pairs_are_asked_for(spark, monkeypatch):
+    """Copies on both sides of the threshold: few of their pairs are verified, and no link is lost."""
+    random.seed(3)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for _ in range(random.choice([3, 4, 5, 5, 6])):
+            words[random.randrange(400)] = f"x{random.randrange(400)}"
+        rows.append((i, " ".join(words), "x", 1))
+    verified, numbers = jaccard.JaccardJoin.verified, []
+
+    def counting(self, pairs, sets):
+        numbers.append(pairs.count())
+        return verified(self, pairs, sets)
+
+    monkeypatch.setattr(jaccard.JaccardJoin, "verified", counting)
+    out = jaccard_components(spark.createDataFrame(rows, SCHEMA).repartition(4), shingle_words=5, percent=80)
+    assert got(out) == brute(rows, 5, 80)
+    assert sum(numbers) < 4 * len(rows), numbers
+
+
 def test_empty_table_and_bad_threshold(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert jaccard_components(df).collect() == []
