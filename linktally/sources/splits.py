@@ -8,7 +8,8 @@ where an even number of quotes comes before it in the file.
    over the file: does the split start inside a value?
 2. A second pass puts lines together. Batches of lines are handled as Arrow arrays;
    the pieces of the few records that cross from one split into the next are
-   put together apart.
+   put together apart. What the pass gives is kept on the executors' disks, since
+   whole records and pieces are read from it for themselves.
 
 A record whose quotes stand where CSV allows none (in the middle of an unquoted
 value) would shift the parity of all that follows, so every record is tested for its form.
@@ -24,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 #: A record whose quotes all enclose whole values; possessive, so long values do not nest calls.
 WELL_FORMED = r'(?s)^(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)(?:,(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+))*+\z'
@@ -149,15 +151,20 @@ def _crossing(pieces: DataFrame) -> DataFrame:
 def csv_records(spark: SparkSession, files: Sequence[str], header: tuple[str, ...]) -> DataFrame:
     """``file, record``: the text of every record of plain files that have one header.
 
-    Counting the quotes of all splits is a job of its own, run here. Empty lines
+    Counting the quotes of all splits is a job of its own, run here. Where a record crosses
+    from one split into the next, the text is kept on disk until ``spark.catalog.clearCache()``
+    or the end of the session; what a lost executor kept is read again. Empty lines
     between records are left out. A value in quotes that never ends makes the rest of
     its file one record, which is not well formed.
     """
     lines = _lines(spark, files)
     opened = spark.sparkContext.broadcast(open_splits(lines))
     pieces = lines.mapInArrow(_records(opened, header), _PIECES)
+    crossed = any(opened.value.values())
+    if crossed:
+        pieces = pieces.persist(StorageLevel.DISK_ONLY)
     whole = pieces.where(F.col("kind") == _WHOLE).select("file", "record")
-    if any(opened.value.values()):
+    if crossed:
         whole = whole.unionByName(_crossing(pieces.where(F.col("kind") != _WHOLE)))
     else:  # only a value that never ends can be left over
         whole = whole.unionByName(pieces.where(F.col("kind") == _END).select("file", "record"))

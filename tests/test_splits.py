@@ -70,6 +70,15 @@ def test_borders_at_every_byte(spark, tmp_path):
         spark.conf.set("spark.sql.files.openCostInBytes", before[1])
 
 
+def test_lines_are_put_together_once(spark, tmp_path, small_splits):
+    """Whole records and the pieces of crossing ones come from one pass over the lines."""
+    text = "p,q\n" + "".join(f'{i},"a\nb {i}"\n' for i in range(40))
+    found = csv_records(spark, [write(tmp_path / "a.csv", text)], ("p", "q"))
+    leaves = found._jdf.queryExecution().optimizedPlan().collectLeaves()
+    assert [leaves.apply(i).nodeName() for i in range(leaves.size())] == ["InMemoryRelation"] * 2
+    assert sorted(row["record"] for row in found.collect()) == sorted(f'{i},"a\nb {i}"' for i in range(40))
+
+
 def test_gzip_files_stay_whole_and_mix_with_split_ones(spark, tmp_path, small_splits):
     write(tmp_path / "a.csv", f'{HEADER}\n1,2022-01-03,7,0,"https://a.com\n"\n')
     write(tmp_path / "b.csv.gz", f'{HEADER}\n2,2022-01-03,7,0,"https://b.com\n"\n')
