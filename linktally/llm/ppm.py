@@ -7,13 +7,14 @@ is asked, without the symbols the longer one has already ruled out. Below the
 empty context all symbols left are equally likely. A text ends with a symbol of
 its own, so that its score is the probability of the whole text.
 
-Pretrained, the trie is a table: one row per context and next symbol, keyed by a
+Pretrained, the trie is a table: one entry per context and next symbol, keyed by a
 number that holds both. Documents are dealt to buckets; a bucket sends the
-distinct keys of its texts with their training counts, the counts meet by key,
-every key's log probability is worked out beside all keys of the same last two
-bytes, and comes back to the buckets that asked. What moves is one row per bucket
-and distinct key, never one per position, and nothing is broadcast but the two
-shortest orders, whose size is fixed. Words of the base model go the same way.
+distinct keys of its texts with their training counts, packed, one row for every lot
+that keys are dealt to by the last two bytes of their context. A lot adds up the counts
+of all buckets, works out every key's log probability and answers every row with the
+prices of its keys, in their order, so that keys travel once. What moves is an entry
+per bucket and distinct key, packed, never one per position, and nothing is broadcast but
+the two shortest orders, whose size is fixed. Words of the base model go the same way.
 
 Adaptive, every document is coded with a trie of its own that starts empty.
 """
@@ -24,19 +25,21 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linktally.llm.common import crc_rest, cut, lowered, quoted, reachable, slices, span_hashes, text_of, utf8, words
+from linktally.llm.common import crc_rest, cut, lowered, mixed, quoted, reachable, slices, span_hashes, text_of, utf8, words
 
 #: Symbols: the bytes, the end of the text, and the start, which is only ever a context.
 END, START, SYMBOLS, BITS = 256, 257, 257, 9
-#: Keys of words have this bit, keys of contexts do not.
-WORD = np.int64(-1 << 63)
 #: Bytes of text dealt to one bucket.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 32 << 20
+#: Bytes of text whose keys are sorted, or looked up, at once.
+SORT_BYTES = 2 << 20
+#: Keys are dealt to so many lots at least and at most; between them, one for so many bytes of text.
+LEAST_LOTS, MOST_LOTS, LOT_BYTES = 64, 1024, 8 << 20
 
 
 class Trie:
@@ -84,74 +87,183 @@ def gram_keys(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.nda
     Every row gains a position for its end.
     """
     rows = len(offsets) - 1
-    sizes = np.diff(offsets)
     ends = offsets + np.arange(rows + 1)
-    shift = np.repeat(np.arange(rows), sizes)
-    symbols = np.full(ends[-1], END, dtype=np.int64)
-    symbols[np.arange(len(data)) + shift] = data
-    place = np.arange(ends[-1]) - np.repeat(ends[:-1], sizes + 1)
+    # every row behind as many starts as a context is long, so that all keys are made alike
+    places = np.repeat(np.arange(1, rows + 1) * order + np.arange(rows), np.diff(offsets))
+    places += np.arange(len(data))
+    symbols = np.full(ends[-1] + rows * order, START, dtype=np.int64)
+    symbols[places] = data
+    lasts = ends[1:] + np.arange(1, rows + 1) * order - 1
+    symbols[lasts] = END
     keys = symbols.copy()
     for step in range(1, order + 1):
-        before = np.full(ends[-1], START, dtype=np.int64)
-        inside = place >= step
-        before[inside] = symbols[np.flatnonzero(inside) - step]
-        keys |= before << (BITS * step)
-    return keys, ends
+        keys[step:] |= symbols[:-step] << (BITS * step)
+    real = np.ones(len(symbols), dtype=bool)
+    for step in range(order):
+        real[ends[:-1] + np.arange(rows) * order + step] = False
+    return keys[real], ends
 
 
 def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    unique, at = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(at, weights=counts, minlength=len(unique)).astype(np.int64)
+    """Distinct keys, ascending, and the sums of their counts; quick where the input is made of sorted runs."""
+    if not len(keys):
+        return keys, counts
+    place = np.argsort(keys, kind="stable")
+    keys = keys[place]
+    fresh = np.ones(len(keys), dtype=bool)
+    np.not_equal(keys[1:], keys[:-1], out=fresh[1:])
+    return keys[fresh], np.add.reduceat(counts[place], np.flatnonzero(fresh))
 
 
-def _texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+class Tally:
+    """Distinct keys of 63 bits with training counts, put together while they come."""
+
+    def __init__(self) -> None:
+        self.waiting: list[np.ndarray] = []
+        self.pieces: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, keys: np.ndarray, train: np.ndarray) -> None:
+        """Keys of some positions, and whether each of these is learned from."""
+        marked = keys.astype(np.uint64) << np.uint64(1)
+        marked |= train
+        self.waiting.append(marked)
+        self.held += len(marked)
+        if self.held >= SORT_BYTES:
+            self._sort()
+
+    def _sort(self) -> None:
+        if not self.held:
+            return
+        marked = np.sort(np.concatenate(self.waiting))
+        self.waiting, self.held = [], 0
+        fresh = np.ones(len(marked), dtype=bool)
+        np.not_equal(marked[1:], marked[:-1], out=fresh[1:])
+        first = np.flatnonzero(fresh)
+        marked, counts = marked[first], np.diff(np.append(first, len(marked)))
+        self.put((marked >> np.uint64(1)).astype(np.int64), counts * (marked & np.uint64(1)).astype(np.int64))
+
+    def put(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Sorted keys with counts. Pieces are merged when the later ones outgrow the first."""
+        self.pieces.append((keys, counts))
+        if len(self.pieces) > 1 and sum(len(k) for k, _ in self.pieces[1:]) > max(len(self.pieces[0][0]), 1 << 20):
+            self._merge()
+
+    def _merge(self) -> None:
+        if self.pieces:
+            self.pieces = [_merged(*(np.concatenate(part) for part in zip(*self.pieces)))]
+
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        self._sort()
+        self._merge()
+        return self.pieces[0] if self.pieces else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, all first bytes, then all second ones, and so on."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, size: int, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(packed, size * width, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, size).T).view(kind).reshape(size)
+
+
+def _unpack_keys(packed: bytes, size: int) -> np.ndarray:
+    return np.cumsum(_unpack(packed, size, np.int64))
+
+
+def _lots_of(keys: np.ndarray, is_word: bool, lots: int) -> np.ndarray:
+    """The lot of each key: a context's by its last two bytes; those of words follow them."""
+    part = keys if is_word else (keys >> BITS) & ((1 << (2 * BITS)) - 1)
+    return (mixed(part.astype(np.uint64)) % np.uint64(lots)).astype(np.int64) + lots * is_word
+
+
+def _dealt(keys: np.ndarray, is_word: bool, lots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of ascending keys by lot, then key; the lots that have any, and where each ends."""
+    of_key = _lots_of(keys, is_word, lots)
+    place = np.argsort(of_key.astype(np.int16 if 2 * lots < 1 << 15 else np.int64), kind="stable")
+    present, sizes = np.unique(of_key, return_counts=True)
+    return place, present, np.cumsum(sizes)
+
+
+def _mark(keys: np.ndarray) -> int:
+    """A number that tells apart sets of keys."""
+    return int(mixed(keys.astype(np.uint64)).sum(dtype=np.uint64).astype(np.int64))
+
+
+def _texts(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data, offsets = utf8(column)
-    for start, end in slices(offsets):
+    for start, end in slices(offsets, limit):
         yield start, end, data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]
 
 
 def _word_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = lowered(data)
     opens, closes, sizes = words(data, offsets)
-    return span_hashes(data, opens, closes).view(np.int64) | WORD, sizes
+    return (span_hashes(data, opens, closes) >> np.uint64(1)).astype(np.int64), sizes
 
 
-def _tally(order: int):
-    """Distinct keys of words and contexts of each bucket, with training counts."""
+def _tally(order: int, lots: int):
+    """Distinct keys of contexts and words of each bucket, with training counts: a row per bucket and lot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        found: dict[int, tuple[Tally, Tally]] = {}
         for batch in batches:
             of_row = batch["bucket"].to_numpy()
             for bucket in np.unique(of_row):
                 own = batch.filter(pa.array(of_row == bucket))
-                train_rows = ~np.array(own["held_out"].to_pylist(), dtype=bool)
+                train_rows = ~own["held_out"].to_numpy(zero_copy_only=False)
+                tallies = found.setdefault(int(bucket), (Tally(), Tally()))
                 for start, end, data, offsets in _texts(own["text"]):
-                    pieces = found.setdefault(int(bucket), [])
                     grams, ends = gram_keys(data, offsets, order)
-                    for keys, sizes in ((grams, np.diff(ends)), _word_keys(data, offsets)):
-                        train = np.repeat(train_rows[start:end], sizes)
-                        for learned in (True, False):
-                            unique, counts = np.unique(keys[train == learned], return_counts=True)
-                            pieces.append((unique, counts * learned))
-                    if len(pieces) >= 16:
-                        pieces[:] = [_merged(*(np.concatenate(x) for x in zip(*pieces)))]
-        for bucket, pieces in found.items():
-            keys, counts = _merged(*(np.concatenate(x) for x in zip(*pieces)))
-            for at in range(0, len(keys), 1 << 18):
-                lot = slice(at, at + (1 << 18))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(keys[lot]), bucket, dtype=np.int64)),
-                        pa.array(keys[lot]),
-                        pa.array(counts[lot]),
-                    ],
-                    names=["bucket", "key", "seen"],
-                )
+                    for tally, (keys, sizes) in zip(tallies, ((grams, np.diff(ends)), _word_keys(data, offsets))):
+                        tally.add(keys, np.repeat(train_rows[start:end], sizes))
+        for bucket in list(found):
+            for is_word, tally in enumerate(found.pop(bucket)):
+                keys, counts = tally.table()
+                place, present, ends = _dealt(keys, bool(is_word), lots)
+                for lot, start, end in zip(present.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
+                    own, seen = keys[place[start:end]], counts[place[start:end]]
+                    row = {
+                        "bucket": bucket,
+                        "lot": lot,
+                        "size": end - start,
+                        "mark": _mark(own),
+                        "keys": _pack(np.diff(own, prepend=0)),
+                        "seen": _pack(seen),
+                    }
+                    yield pa.RecordBatch.from_pylist([row], schema=_TALLIED)
 
     return run
 
 
+_TALLIED = pa.schema(
+    [
+        ("bucket", pa.int64()),
+        ("lot", pa.int64()),
+        ("size", pa.int64()),
+        ("mark", pa.int64()),
+        ("keys", pa.binary()),
+        ("seen", pa.binary()),
+    ]
+)
+_PRICED = pa.schema([("bucket", pa.int64()), ("lot", pa.int64()), ("size", pa.int64()), ("mark", pa.int64()), ("prices", pa.binary())])
+
+
+def _endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training counts of the last two symbols of contexts."""
+    sums = np.zeros(1 << (2 * BITS), dtype=np.int64)
+    for batch in batches:
+        for row in batch.to_pylist():
+            keys, counts = _unpack_keys(row["keys"], row["size"]), _unpack(row["seen"], row["size"], np.int64)
+            np.add.at(sums, keys & ((1 << (2 * BITS)) - 1), counts)
+    present = np.flatnonzero(sums)
+    yield pa.RecordBatch.from_arrays([pa.array(present), pa.array(sums[present])], names=["key", "seen"])
+
+
 class Levels:
     """Trie levels ``0 .. order`` from the counts of the longest keys, in arrays."""
 
@@ -219,88 +331,122 @@ class Levels:
         return out
 
 
+def _summed(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    tally = Tally()
+    for row in rows:
+        tally.put(_unpack_keys(row["keys"], row["size"]), _unpack(row["seen"], row["size"], np.int64))
+    return tally.table()
+
+
+def _answers(rows: list[dict], keys: np.ndarray, prices: np.ndarray) -> pa.Table:
+    """The prices of every row's keys, in their order."""
+    answers = []
+    for row in rows:
+        own = prices[np.searchsorted(keys, _unpack_keys(row["keys"], row["size"]))]
+        answers.append({**{name: row[name] for name in ("bucket", "lot", "size", "mark")}, "prices": _pack(own)})
+    return pa.Table.from_pylist(answers, schema=_PRICED)
+
+
 def _priced(order: int, short):
     """Log probability of every key of some pairs of last bytes."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = frame["key"].to_numpy(), frame["seen"].to_numpy()
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        keys, counts = _summed(rows)
         levels = Levels(keys, counts, order)
-        for size, (table, sums) in enumerate(short.value):
-            levels.replace(size, table, sums)
-        return pd.DataFrame({"key": keys, "value": levels.log10(keys)})
+        for size, (known, sums) in enumerate(short.value):
+            levels.replace(size, known, sums)
+        return _answers(rows, keys, levels.log10(keys))
 
     return run
 
 
-class WordCounts:
-    """Training counts of a bucket's words: those that came back, and its own for the rest.
+def _counted(table: pa.Table) -> pa.Table:
+    """Training counts of some words, and in one row more, without a bucket, how many tokens and distinct words these are."""
+    rows = table.to_pylist()
+    keys, counts = _summed(rows)
+    total = {"bucket": None, "lot": int(counts.sum()), "size": int((counts > 0).sum()), "mark": 0, "prices": b""}
+    return pa.concat_tables([_answers(rows, keys, counts), pa.Table.from_pylist([total], schema=_PRICED)])
 
-    A word does not come back if no other bucket has it; then it was counted here.
-    """
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, own: list[np.ndarray]) -> None:
-        local, seen = np.unique(np.concatenate([np.zeros(0, np.int64), *own]), return_counts=True)
-        alone = ~np.isin(local, keys)
-        keys, counts = np.concatenate([keys, local[alone]]), np.concatenate([counts, seen[alone]])
-        place = np.argsort(keys)
-        self.keys, self.counts = keys[place], counts[place]
+class Prices:
+    """What came back to a bucket, by key. Its keys are made again from its texts, in the order they were sent in."""
+
+    def __init__(self, tally: Tally, is_word: bool, lots: int, back: dict[int, dict], kind) -> None:
+        keys, _ = tally.table()
+        place, present, ends = _dealt(keys, is_word, lots)
+        self.keys = pa.array(keys)
+        self.values = np.zeros(len(keys), dtype=kind)
+        for lot, start, end in zip(present.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
+            own, row = place[start:end], back.pop(lot, None)
+            if row is None or row["size"] != end - start or row["mark"] != _mark(keys[own]):
+                raise RuntimeError("documents were read in other partitions than before: write them to a table first")
+            self.values[own] = _unpack(row["prices"], row["size"], kind)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(keys))
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.counts[at], 0.0)
+        return self.values[pc.index_in(pa.array(keys), value_set=self.keys).to_numpy(zero_copy_only=False)]
 
 
-def _scored(order: int, totals: tuple[int, int, int]):
-    """Scores of a bucket's texts from the keys that came back to it."""
+def _scored(order: int, lots: int, totals: tuple[int, int, int]):
+    """Scores of a bucket's texts from the prices that came back to it."""
     train_tokens, distinct, ends = totals
 
-    def run(frame: pd.DataFrame, prices: pd.DataFrame) -> pd.DataFrame:
-        names = ["id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-        if not len(frame):
-            return pd.DataFrame({name: [] for name in names})
-        texts = pa.array(frame["text"], pa.string())
-        held = frame["held_out"].to_numpy(dtype=bool)
-        place = np.argsort(prices["key"].to_numpy())
-        table, values = prices["key"].to_numpy()[place], prices["value"].to_numpy()[place]
-        first = int(np.searchsorted(table, 0))  # words are below zero
-        gram_table, gram_prices = table[first:], values[first:]
-        said = []
-        for start, end, data, offsets in _texts(texts):
-            keys, sizes = _word_keys(data, offsets)
-            said.append(keys[np.repeat(~held[start:end], sizes)])
-        counts = WordCounts(table[:first], values[:first], said)
+    def run(frame: pa.Table, back: pa.Table) -> pa.Table:
+        if not frame.num_rows:
+            return _SCORED.empty_table()
+        frame = frame.combine_chunks()
+        texts = frame["text"].combine_chunks()
+        held = frame["held_out"].combine_chunks().to_numpy(zero_copy_only=False)
+        grams_of, words_of = Tally(), Tally()
+        for _, _, data, offsets in _texts(texts):
+            grams, _ = gram_keys(data, offsets, order)
+            grams_of.add(grams, np.zeros(len(grams), dtype=bool))
+            keys, _ = _word_keys(data, offsets)
+            words_of.add(keys, np.zeros(len(keys), dtype=bool))
+        rows = {row["lot"]: row for row in back.to_pylist()}
+        prices = Prices(grams_of, False, lots, rows, np.float64)
+        counts = Prices(words_of, True, lots, rows, np.int64)
+        del grams_of, words_of, rows
         scale = math.log10(train_tokens + 0.5 * (distinct + 1))
         parts = []
-        for start, end, data, offsets in _texts(texts):
+        for start, end, data, offsets in _texts(texts, SORT_BYTES):
             keys, bounds = gram_keys(data, offsets, order)
-            at = np.minimum(np.searchsorted(gram_table, keys), len(gram_table) - 1)
-            if not (gram_table[at] == keys).all():
-                raise RuntimeError("documents were read in other partitions than before: write them to a table first")
-            score = np.add.reduceat(gram_prices[at], bounds[:-1])
+            score = np.add.reduceat(prices.of(keys), bounds[:-1])
             hashes, sizes = _word_keys(data, offsets)
             count = counts.of(hashes)
             sums = np.concatenate([[0.0], np.cumsum(np.log10(count + 0.5) - scale)])
             known = np.concatenate([[0], np.cumsum(count > 0)])
             to = np.cumsum(sizes)
             parts.append(
-                pd.DataFrame(
-                    {
-                        "id": frame["id"].iloc[start:end],
-                        "held_out": held[start:end],
-                        "n_tokens": sizes + 1,
-                        "n_known": known[to] - known[to - sizes] + int(ends > 0),
-                        "base_score": sums[to] - sums[to - sizes] + math.log10(ends + 0.5) - scale,
-                        "score": score,
-                    }
+                pa.table(
+                    [
+                        frame["id"].slice(start, end - start),
+                        pa.array(held[start:end]),
+                        pa.array(sizes + 1),
+                        pa.array(known[to] - known[to - sizes] + int(ends > 0)),
+                        pa.array(sums[to] - sums[to - sizes] + math.log10(ends + 0.5) - scale),
+                        pa.array(score),
+                    ],
+                    schema=_SCORED,
                 )
             )
-        return pd.concat(parts, ignore_index=True)
+        return pa.concat_tables(parts)
 
     return run
 
 
+_SCORED = pa.schema(
+    [
+        ("id", pa.string()),
+        ("held_out", pa.bool_()),
+        ("n_tokens", pa.int64()),
+        ("n_known", pa.int64()),
+        ("base_score", pa.float64()),
+        ("score", pa.float64()),
+    ]
+)
+
+
 def _adaptive(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,49 +489,52 @@ def score_pretrained(
         raise ValueError("order: 2 to 6")
     spark = docs.sparkSession
     reachable(spark)
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    subs = max(math.ceil(2 * split / BUCKET_BYTES), 1)
     kind = docs.schema[id_col].dataType.simpleString()
-    ids = F.col(quoted(id_col))
+    ids, text = F.col(quoted(id_col)), text_of(text_col)
+    sizes = docs.select(
+        F.spark_partition_id().alias("part"), F.octet_length(text).alias("bytes"), (crc_rest(id_col) != held_out_rest).alias("train")
+    )
+    sized = (
+        sizes.groupBy("part")
+        .agg(F.sum("bytes").alias("bytes"), F.count_if("train").alias("train"))
+        .agg(F.max("bytes").alias("most"), F.sum("bytes").alias("bytes"), F.sum("train").alias("train"))
+        .first()
+    )
+    subs = max(math.ceil((sized["most"] or 0) / BUCKET_BYTES), 1)
+    lots = min(max(math.ceil((sized["bytes"] or 0) / LOT_BYTES), LEAST_LOTS), MOST_LOTS)
+    ends = sized["train"] or 0
     base = docs.select(
-        ids.cast("string").alias("id"),  # pandas would make numbers with nulls floats
+        ids.cast("string").alias("id"),
         (crc_rest(id_col) == held_out_rest).alias("held_out"),
-        text_of(text_col).alias("text"),
-        (F.spark_partition_id().cast("long") * subs + F.pmod(F.xxhash64(ids, text_of(text_col)), F.lit(subs))).alias("bucket"),
+        text.alias("text"),
+        (F.spark_partition_id().cast("long") * subs + F.pmod(F.xxhash64(ids, text), F.lit(subs))).alias("bucket"),
     )
     tallied = cut(
-        base.select("bucket", "held_out", "text").mapInArrow(_tally(order), "bucket long, key long, seen long"),
+        base.select("bucket", "held_out", "text").mapInArrow(
+            _tally(order, lots), "bucket long, lot long, size long, mark long, keys binary, seen binary"
+        ),
         "ppm-tallied",
     )
-    model = cut(
-        tallied.groupBy("key").agg(F.sum("seen").alias("seen"), F.count("*").alias("buckets")), "ppm-model"
+    grams, terms = tallied.where(F.col("lot") < lots), tallied.where(F.col("lot") >= lots)
+    back = "bucket long, lot long, size long, mark long, prices binary"
+    counted = cut(terms.groupBy("lot").applyInArrow(_counted, back), "ppm-counted")
+    sums = (
+        counted.where("bucket IS NULL")
+        .agg(F.coalesce(F.sum("lot"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("size"), F.lit(0)).alias("distinct"))
+        .first()
     )
-    grams, terms = model.where("key >= 0"), model.where("key < 0")
-    sums = terms.agg(F.coalesce(F.sum("seen"), F.lit(0)).alias("tokens"), F.count_if(F.col("seen") > 0).alias("distinct")).first()
-    ends = docs.where(crc_rest(id_col) != held_out_rest).count()
     totals = (sums["tokens"] + ends, sums["distinct"] + int(ends > 0), ends)
-    short = []
-    for size in (0, 1):
-        mask = (1 << (BITS * (size + 1))) - 1
-        rows = (
-            grams.where("seen > 0").groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("k")).agg(F.sum("seen").alias("n")).collect()
-        )  # at most 257 * 258 rows
-        short.append((np.array([r["k"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)))
-    shared = spark.sparkContext.broadcast(short)
-    pair = F.shiftright("key", BITS).bitwiseAND(F.lit((1 << (2 * BITS)) - 1))
-    lots = max(math.ceil(grams.count() / 50_000), 64)
-    priced = grams.groupBy(F.pmod(F.xxhash64(pair), F.lit(lots)).alias("lot")).applyInPandas(
-        _priced(order, shared), "key long, value double"
-    )
-    counted = terms.where("buckets > 1").select("key", F.col("seen").cast("double").alias("value"))
-    back = tallied.select("bucket", "key").join(priced.unionByName(counted), "key")
+    rows = grams.mapInArrow(_endings, "key long, seen long").groupBy("key").agg(F.sum("seen").alias("seen")).collect()
+    # at most 257 * 258 rows
+    pairs = np.array([r["key"] for r in rows], np.int64), np.array([r["seen"] for r in rows], np.int64)
+    shared = spark.sparkContext.broadcast([_merged(pairs[0] & ((1 << BITS) - 1), pairs[1]), pairs])
+    priced = grams.groupBy("lot").applyInArrow(_priced(order, shared), back)
+    answers = priced.unionByName(counted.where("bucket IS NOT NULL"))
     scored = (
         base.groupBy("bucket")
-        .cogroup(back.groupBy("bucket"))
-        .applyInPandas(
-            _scored(order, totals),
+        .cogroup(answers.groupBy("bucket"))
+        .applyInArrow(
+            _scored(order, lots, totals),
             "id string, held_out boolean, n_tokens long, n_known long, base_score double, score double",
         )
     )

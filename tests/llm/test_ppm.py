@@ -1,5 +1,6 @@
 """PPM: the table model against a trie, the base model, edge cases."""
 
+import glob
 import math
 import random
 import re
@@ -9,7 +10,22 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from linktally.llm.ppm import END, START, SYMBOLS, Levels, Trie, score_adaptive, score_pretrained
+from linktally.llm.ppm import (
+    END,
+    LEAST_LOTS,
+    START,
+    SYMBOLS,
+    Levels,
+    Prices,
+    Tally,
+    Trie,
+    _dealt,
+    _mark,
+    _pack,
+    gram_keys,
+    score_adaptive,
+    score_pretrained,
+)
 
 SCHEMA = "doc_id long, text string, bucket string"
 
@@ -92,3 +108,36 @@ def test_adaptive_codes_each_text_alone(spark):
     out = score_adaptive(spark.createDataFrame(rows, SCHEMA), order=3).collect()
     assert [r["score"] for r in out] == [Trie(3).run((t or "").encode(), learn=True) for _, t, _ in rows]
     assert score_adaptive(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_keys_move_packed_not_one_by_one(spark):
+    """What is kept between the passes is a row per bucket and lot, with the keys of one lot in it."""
+    random.seed(9)
+    rows = [(i, "".join(random.choice("abcdefgh ") for _ in range(2000)), "x") for i in range(20)]
+    spark.createDataFrame(rows, SCHEMA).repartition(2).write.parquet(path := f"{spark.conf.get('spark.checkpoint.dir')}/ppm-docs")
+    docs = spark.read.parquet(path)
+    before = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/ppm-tallied-*"))
+    assert got(score_pretrained(docs)) == brute(rows, 5)
+    (made,) = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/ppm-tallied-*")) - before
+    tallied = spark.read.parquet(made)
+    distinct = len({t[i : i + 6] for _, t, _ in rows for i in range(len(t))})
+    assert tallied.count() <= docs.rdd.getNumPartitions() * 2 * LEAST_LOTS < distinct
+    assert tallied.agg({"size": "sum"}).first()[0] > distinct
+
+
+def test_other_texts_than_those_counted_raise():
+    def tally(text):
+        out = Tally()
+        keys, _ = gram_keys(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 3)
+        out.add(keys, np.ones(len(keys), dtype=bool))
+        return out
+
+    keys, counts = tally(b"abcabcab").table()
+    place, present, ends = _dealt(keys, False, 8)
+    back = {}
+    for lot, start, end in zip(present.tolist(), [0, *ends[:-1]], ends):
+        own = place[start:end]
+        back[lot] = {"size": len(own), "mark": _mark(keys[own]), "prices": _pack(counts[own])}
+    assert (Prices(tally(b"abcabcab"), False, 8, dict(back), np.int64).of(keys) == counts).all()
+    with pytest.raises(RuntimeError, match="other partitions"):
+        Prices(tally(b"abcabcax"), False, 8, dict(back), np.int64)
