@@ -21,15 +21,27 @@ DEFAULT_PORT = r":(?:80|443)\z"
 SHORT_SUBDOMAIN = r"^(?:(?:www|m|mobile)[.])+([^.]+[.].+)\z"
 UNWANTED_PARAMETER = r"&(?:(?:utm_[a-z]+|fbclid|gclid|ref|feature)(?:=[^&]*)?)?(?=&|\z)"
 INDEX_PAGE = r"/index[.][a-z]+\z"
-VALID_HOST = r"^[^/?#\x09-\x0d\x20]+\z"
 BLANKS = "".join(chr(code) for code in range(0x21))
+HOST_BLANKS = "\t\n\x0b\x0c\r "
+MAX_LENGTH = (1 << 31) - 1
 
 
-def _web_body(link: Column) -> Column:
-    """The link without blanks, scheme and fragment; null if it is no web link."""
-    trimmed = F.btrim(link, F.lit(BLANKS))
-    body = F.substring_index(F.regexp_replace(trimmed, SCHEME, ""), "#", 1)
-    return F.when((trimmed != "") & ~trimmed.rlike(NOT_WEB), body)
+def _trimmed(link: Column) -> Column:
+    """The link without blanks at its ends; few links have any."""
+    blank = (F.substring(link, 1, 1) <= " ") | (F.substring(link, -1, 1) <= " ")
+    return F.when(blank, F.btrim(link, F.lit(BLANKS))).otherwise(link)
+
+
+def _web_body(trimmed: Column) -> Column:
+    """A trimmed link without scheme and fragment; null if it is no web link.
+
+    The two common schemes are cut off by length, where no further slashes follow.
+    """
+    bare = F.when((trimmed != "") & ~trimmed.rlike(NOT_WEB), F.regexp_replace(trimmed, SCHEME, ""))
+    for scheme in ("http://", "https://"):
+        common = trimmed.startswith(scheme) & ~trimmed.startswith(scheme + "//")
+        bare = F.when(common, F.substring(trimmed, len(scheme) + 1, MAX_LENGTH)).otherwise(bare)
+    return F.substring_index(bare, "#", 1)
 
 
 def _wanted_parameters(query: Column) -> Column:
@@ -56,7 +68,15 @@ def _host(authority: Column) -> Column:
 
 def _clean_path(path: Column) -> Column:
     named = F.when(path.contains("/index."), F.regexp_replace(path, INDEX_PAGE, "")).otherwise(path)
-    return F.rtrim(named, F.lit("/"))
+    return F.when(named.endswith("/"), F.rtrim(named, F.lit("/"))).otherwise(named)
+
+
+def _valid_host(host: Column) -> Column:
+    """Is there a host, without white space? What ends a host is cut off before."""
+    valid = host != ""
+    for blank in HOST_BLANKS:
+        valid = valid & ~host.contains(blank)
+    return valid
 
 
 def _short_host(host: Column) -> Column:
@@ -77,7 +97,8 @@ def with_normalized_url(
     """
     keep = df.columns
     staged = (
-        df.withColumn("_body", _web_body(F.col(link)))
+        df.withColumn("_trimmed", _trimmed(F.col(link)))
+        .withColumn("_body", _web_body(F.col("_trimmed")))
         .withColumn("_head", F.substring_index("_body", "?", 1))
         .withColumns(
             {
@@ -91,7 +112,7 @@ def with_normalized_url(
                 "_host": _host(F.col("_authority")),
             }
         )
-        .withColumn("_host", F.when(F.col("_host").rlike(VALID_HOST), F.col("_host")))
+        .withColumn("_host", F.when(_valid_host(F.col("_host")), F.col("_host")))
     )
     normalized = F.concat(
         _short_host(F.col("_host")),

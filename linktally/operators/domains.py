@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linktally.functions.settle import settle
@@ -10,6 +13,19 @@ from linktally.functions.suffixes import DEEPER, EXACT, EXCEPTION, WILDCARD, Suf
 
 # The other full stops that a host of letters may be written with.
 FULL_STOPS = "\u3002\uff0e\uff61"
+# Line ends: "$" of a pattern matches before one at the end of a text, too.
+LINE_ENDS = "\n\r\u0085\u2028\u2029"
+
+
+def _dotted(host: Column) -> Column:
+    """The host with ASCII full stops; few hosts have others."""
+    other = reduce(or_, [host.contains(stop) for stop in FULL_STOPS])
+    return F.when(other, F.translate(host, FULL_STOPS, "." * len(FULL_STOPS))).otherwise(host)
+
+
+def _without_last_dot(host: Column) -> Column:
+    ends = reduce(or_, [host.endswith(end) for end in "." + LINE_ENDS])
+    return F.when(ends, F.regexp_replace(host, r"[.]$", "")).otherwise(host)
 
 
 def attribute_domain(
@@ -28,8 +44,7 @@ def attribute_domain(
     """
     keep = df.columns
     given, host = host, "_named_host"
-    dotted = F.translate(F.col(given), FULL_STOPS, "." * len(FULL_STOPS))
-    df = df.withColumn(host, F.regexp_replace(dotted, r"[.]$", ""))
+    df = df.withColumn("_dotted_host", _dotted(F.col(given))).withColumn(host, _without_last_dot(F.col("_dotted_host")))
     dots = F.length(host) - F.length(F.replace(F.col(host), F.lit("."), F.lit("")))
     entries = rules.frame.select(
         F.col("last").alias("_last"), F.col("flags").alias("_flags1"), F.col("pairs").alias("_pairs"), F.col("deeper").alias("_deeper")

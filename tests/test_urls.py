@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +142,22 @@ def test_harmless_changes_on_all_pages(spark, table):
     assert both.where(~(F.col("u1").eqNullSafe(F.col("normalized_url")))).count() == 0
     assert both.where(~(F.col("d1").eqNullSafe(F.col("domain_name")))).count() == 0
     assert both.where(F.col("d1").isNull()).count() == 0
+
+
+def test_patterns_that_few_links_need_are_behind_a_test(spark):
+    """A plain link meets no pattern for its scheme, ends and host, no trimming and no translation."""
+    df = spark.createDataFrame([("https://a.com/x",)], "link string")
+    text = with_url_and_domain(df)._jdf.queryExecution().optimizedPlan().toString()
+    calls = re.findall(r"(.{5})\b(?:regexp_replace|translate|rtrim|trim|btrim)\(", text)
+    assert calls and set(calls) <= {"THEN ", "ELSE "}, text
+    odd = [
+        ("https:////a.com/x", "a.com/x"),
+        ("https://a.com/x\x00 ", "a.com/x"),
+        ("HTTPS://a.com/x//", "a.com/x"),
+        ("http://a。com./", "a。com."),
+        ("http://mailto:x", "mailto:x"),
+        ("https://a b.com", None),
+        ("https://", None),
+    ]
+    found = with_url_and_domain(spark.createDataFrame([(link,) for link, _ in odd], "link string")).collect()
+    assert {row["link"]: row["normalized_url"] for row in found} == dict(odd)
